@@ -125,12 +125,12 @@ def release_rows(
     rows = geometries.select(
         "geometry_level",
         F.col("geometry_id").alias("geometry_metadata_id"),
+        publisher.alias("data_publisher_id"),
         F.explode(F.array(*structs)).alias("t"),
-    ).select("geometry_level", "geometry_metadata_id", "t.*")
-    fields = rows.withColumn("data_publisher_id", publisher)
+    ).select("geometry_level", "geometry_metadata_id", "data_publisher_id", "t.*")
     values = {f.name: F.col(f.name) for f in field_schema("release")}
     names = published_names("release")
-    return fields.select(
+    return rows.select(
         "release_key",
         "geometry_level",
         content_id(values).alias("source_data_release_id"),
