@@ -13,16 +13,10 @@ BASE = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
 def title_case(text: Column) -> Column:
     """Upper-case each first letter of a letter run, lower-case the rest.
 
-    ``initcap`` only looks at blanks; here any non-letter starts a new word.
+    ``initcap`` alone only starts words at blanks; here any non-letter does.
     """
     runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    cased = F.transform(
-        runs,
-        lambda run: F.concat(
-            F.upper(F.substring(run, 1, 1)), F.lower(F.substring(run, 2, 2147483647))
-        ),
-    )
-    return F.array_join(cased, "")
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def keep_alphanumeric(text: Column) -> Column:

@@ -12,6 +12,7 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arealis.schemas import GEO_ID
 from arealis.session import ensure_checkpoint_dir
@@ -421,7 +422,7 @@ def _wkb(parts) -> bytes:
     return b"".join(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def to_wkb(parts: pd.Series) -> pd.Series:
     return parts.map(_wkb)
 

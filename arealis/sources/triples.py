@@ -22,30 +22,36 @@ ISO_639_1 = "http://publications.europa.eu/ontology/euvoc#ISO_639_1"
 
 LANGUAGE_ORDER = ["en", "fr", "de", "nl"]
 
-_LINE = (
-    r'^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+'
-    r'(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
-)
+# The literal of a triple ends its line, so it reaches to the last quote there.
+# Plain ``.*`` runs keep the matcher flat however long a literal is.
+_HEAD = r"(?s)^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(.*\S)\s*\.\s*$"
+_NODE = r"(?s)^(?:<([^>]*)>|(_:\S+))$"
+_LITERAL = r'(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$'
 
 
 def parse_triple_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     """N-Triples lines -> ``(s, p, o, lang, datatype)``; blank and comment lines drop out."""
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(F.col(text), _LINE, i)
-
-    literal = F.replace(
-        F.replace(F.replace(group(6), F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n")),
-        F.lit("\\\\"),
-        F.lit("\\"),
+    line = F.col(text)
+    parts = lines.filter(line.rlike(_HEAD)).select(
+        F.concat(F.regexp_extract(line, _HEAD, 1), F.regexp_extract(line, _HEAD, 2)).alias("s"),
+        F.regexp_extract(line, _HEAD, 3).alias("p"),
+        F.regexp_extract(line, _HEAD, 4).alias("rest"),
     )
-    is_node = (group(4) != "") | (group(5) != "")
-    return lines.filter(F.col(text).rlike(_LINE)).select(
-        F.concat(group(1), group(2)).alias("s"),
-        group(3).alias("p"),
-        F.when(is_node, F.concat(group(4), group(5))).otherwise(literal).alias("o"),
-        F.nullif(group(7), F.lit("")).alias("lang"),
-        F.nullif(group(8), F.lit("")).alias("datatype"),
+    rest = F.col("rest")
+    node = F.concat(F.regexp_extract(rest, _NODE, 1), F.regexp_extract(rest, _NODE, 2))
+    # A doubled backslash is set aside first so that it starts no other escape.
+    literal = F.regexp_extract(rest, _LITERAL, 1)
+    for code, plain in (
+        ("\\\\", "\u0000"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\u0000", "\\"),
+    ):
+        literal = F.replace(literal, F.lit(code), F.lit(plain))
+    return parts.select(
+        "s",
+        "p",
+        F.when(rest.startswith('"'), literal).otherwise(node).alias("o"),
+        F.nullif(F.regexp_extract(rest, _LITERAL, 2), F.lit("")).alias("lang"),
+        F.nullif(F.regexp_extract(rest, _LITERAL, 3), F.lit("")).alias("datatype"),
     )
 
 

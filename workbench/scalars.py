@@ -35,7 +35,7 @@ def text_functions(spark, sf):
 @query(
     "title_case",
     r"""SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '(\p{L}+|[^\p{L}]+)', 1),
-      lambda w: upper(w[1]) || lower(w[2:])), '') AS titled FROM documents""",
+      lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(w[2:])), '') AS titled FROM documents""",
 )
 def title_case(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.title_case(F.col("text")).alias("titled"))
