@@ -24,7 +24,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_COLUMNS = ["archive", "member", "size", "content", "problem"]
+
+#: Bytes of member content handed on at once.
+_CHUNK_BYTES = 32 * 1024 * 1024
+
+
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows, held = [], 0
     for batch in batches:
         for archive, content in zip(batch["archive"], batch["content"]):
             try:
@@ -32,15 +39,15 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     for info in z.infolist():
                         if info.is_dir():
                             continue
-                        yield pd.DataFrame(
-                            [(archive, info.filename, info.file_size, z.read(info), None)],
-                            columns=["archive", "member", "size", "content", "problem"],
-                        )
+                        rows.append((archive, info.filename, info.file_size, z.read(info), None))
+                        held += info.file_size
+                        if held >= _CHUNK_BYTES:
+                            yield pd.DataFrame(rows, columns=_COLUMNS)
+                            rows, held = [], 0
             except zipfile.BadZipFile:
-                yield pd.DataFrame(
-                    [(archive, None, None, None, "malformed")],
-                    columns=["archive", "member", "size", "content", "problem"],
-                )
+                rows.append((archive, None, None, None, "malformed"))
+    if rows:
+        yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def expand_archives(archives: DataFrame) -> DataFrame:

@@ -71,20 +71,15 @@ class _TableReader(HTMLParser):
 
 def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        rows = []
         for url, html in zip(batch["url"], batch["html"]):
             reader = _TableReader()
             reader.feed(html or "")
-            yield pd.DataFrame(
-                {
-                    "url": [url] * len(reader.rows),
-                    "table_no": [t for t, _, _ in reader.rows],
-                    "row_no": [r for _, r, _ in reader.rows],
-                    "cells": [
-                        [{"text": text, "href": href} for text, href in cells]
-                        for _, _, cells in reader.rows
-                    ],
-                }
+            rows.extend(
+                (url, t, r, [{"text": text, "href": href} for text, href in cells])
+                for t, r, cells in reader.rows
             )
+        yield pd.DataFrame(rows, columns=["url", "table_no", "row_no", "cells"])
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
@@ -111,19 +106,73 @@ def named_cells(rows: DataFrame, names: list[str]) -> DataFrame:
     return cells.filter(~F.col(first).eqNullSafe(F.col(second)))
 
 
-def section_text(html: Column, section_id: str) -> Column:
-    """Text lines of the one ``div``/``section``/``p`` with this id.
+# HTML elements without an end tag.
+_VOID = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
+    "track", "wbr",
+}
+
+
+class _SectionReader(HTMLParser):
+    """Collects the text lines inside the elements with one id."""
+
+    def __init__(self, section_id: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.section_id = section_id
+        self.sections: list[list[str]] = []
+        self._depth = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _VOID:
+            return
+        if self._depth:
+            self._depth += 1
+        elif dict(attrs).get("id") == self.section_id:
+            self.sections.append([])
+            self._depth = 1
+
+    def handle_endtag(self, tag):
+        if self._depth and tag not in _VOID:
+            self._depth -= 1
+
+    def handle_data(self, data):
+        if self._depth and data.strip():
+            self.sections[-1].append(data.strip())
+
+
+def sections(pages: DataFrame, section_id: str) -> DataFrame:
+    """Per page the number of elements with this id and the text of the first one."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for url, html in zip(batch["url"], batch["html"]):
+                reader = _SectionReader(section_id)
+                reader.feed(html or "")
+                first = "\n".join(reader.sections[0]) if reader.sections else None
+                rows.append((url, len(reader.sections), first))
+            yield pd.DataFrame(rows, columns=["url", "n_sections", "text"])
+
+    return pages.select("url", "html").mapInPandas(
+        read, "url string, n_sections int, text string"
+    )
+
+
+def section_text(pages: DataFrame, section_id: str) -> DataFrame:
+    """Text lines of the one element with this id per page.
 
     None or several of them is an error: the page is no longer what was
     assumed.
     """
-    pattern = (
-        rf"""(?is)<(div|section|p)\b[^>]*?\bid\s*=\s*["']{section_id}["'][^>]*>(.*?)</\1>"""
-    )
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
-    pieces = F.transform(F.split(found[0], r"(?s)<[^>]*>"), lambda t: F.trim(F.regexp_replace(t, r"^\s+|\s+$", "")))
-    text = F.array_join(F.filter(pieces, lambda t: t != ""), "\n")
     message = F.concat(
-        F.lit(f"expected one section {section_id}, found "), F.size(found).cast("string")
+        F.lit(f"expected one section {section_id}, found "),
+        F.col("n_sections").cast("string"),
+        F.lit(" in "),
+        F.col("url"),
+    )
+    return sections(pages, section_id).select(
+        "url",
+        F.when(F.col("n_sections") == 1, F.col("text"))
+        .otherwise(F.raise_error(message).cast("string"))
+        .alias("text"),
     )
-    return F.when(F.size(found) == 1, text).otherwise(F.raise_error(message).cast("string"))

@@ -414,13 +414,14 @@ def html_table_rows(spark, sf):
 
 @query(
     "page_section_text",
-    "SELECT p_partkey, p_name || chr(10) || p_type AS section FROM part",
+    "SELECT CAST(p_partkey AS VARCHAR) AS url, p_name || chr(10) || p_type || chr(10) || 'end' AS text FROM part",
 )
 def page_section_text(spark, sf):
     html = F.concat(
-        F.lit('<html><div class="a">no</div><div class="b" id="landing">\n <h1>'), "p_name", F.lit("</h1> <p>"), "p_type", F.lit("</p>\n</div></html>")
+        F.lit('<html><div class="a">no</div><div class="b" id="landing">\n <div><h1>'), "p_name", F.lit("</h1></div><br> <p>"), "p_type", F.lit("</p>\nend</div>no</html>")
     )
-    return table(spark, sf, "part").select("p_partkey", P.section_text(html, "landing").alias("section"))
+    pages = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("url"), html.alias("html"))
+    return P.section_text(pages, "landing")
 
 
 @query(
