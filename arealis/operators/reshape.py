@@ -86,8 +86,8 @@ def unpivot_values(
 def pivot_table(df: DataFrame, spec: PivotSpec, names: list[str] | None = None) -> DataFrame:
     """Pivot one or several value columns by 0..n keys.
 
-    Several value columns are named ``value<sep>key1<sep>key2``.  Without keys
-    every value column is summed per area.
+    With named values a column is called ``value<sep>key1<sep>key2``.  Without
+    keys every value column is summed per area.
     """
     keys, values = list(spec.key_columns), list(spec.value_columns)
     if not keys:
@@ -96,7 +96,8 @@ def pivot_table(df: DataFrame, spec: PivotSpec, names: list[str] | None = None)
             .groupBy(F.col(quoted(spec.geo_column)).alias(GEO_ID))
             .agg(*[F.sum(F.coalesce(F.col(quoted(v)), F.lit(0))).alias(v) for v in values])
         )
-    if len(values) == 1:
+    named = len(values) > 1 if spec.name_values is None else spec.name_values
+    if not named:
         return pivot_metrics(
             df, spec.geo_column, keys, values[0], spec.how, spec.separator, names
         )

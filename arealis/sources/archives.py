@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arealis.functions.urls import double_dot_variant
+from arealis.operators.columns import quoted
 
 MEMBER_SCHEMA = "archive string, member string, size bigint, content binary, problem string"
 
@@ -30,24 +33,30 @@ _COLUMNS = ["archive", "member", "size", "content", "problem"]
 _CHUNK_BYTES = 32 * 1024 * 1024
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows, held = [], 0
-    for batch in batches:
-        for archive, content in zip(batch["archive"], batch["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        rows.append((archive, info.filename, info.file_size, z.read(info), None))
-                        held += info.file_size
-                        if held >= _CHUNK_BYTES:
-                            yield pd.DataFrame(rows, columns=_COLUMNS)
-                            rows, held = [], 0
-            except zipfile.BadZipFile:
-                rows.append((archive, None, None, None, "malformed"))
-    if rows:
-        yield pd.DataFrame(rows, columns=_COLUMNS)
+def _members(with_content: bool):
+    """Function for ``mapInPandas``: archives to members."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
+        for batch in batches:
+            for archive, content in zip(batch["archive"], batch["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for info in z.infolist():
+                            if info.is_dir():
+                                continue
+                            data = z.read(info) if with_content else None
+                            rows.append((archive, info.filename, info.file_size, data, None))
+                            held += info.file_size if with_content else 0
+                            if held >= _CHUNK_BYTES:
+                                yield pd.DataFrame(rows, columns=_COLUMNS)
+                                rows, held = [], 0
+                except zipfile.BadZipFile:
+                    rows.append((archive, None, None, None, "malformed"))
+        if rows:
+            yield pd.DataFrame(rows, columns=_COLUMNS)
+
+    return read
 
 
 def expand_archives(archives: DataFrame) -> DataFrame:
@@ -55,7 +64,14 @@ def expand_archives(archives: DataFrame) -> DataFrame:
 
     Each archive is opened once, whatever number of members is wanted from it.
     """
-    return archives.select("archive", "content").mapInPandas(_members, MEMBER_SCHEMA)
+    return archives.select("archive", "content").mapInPandas(_members(True), MEMBER_SCHEMA)
+
+
+def list_members(archives: DataFrame) -> DataFrame:
+    """As :func:`expand_archives` from the directory of each archive only: nothing is unpacked."""
+    return archives.select("archive", "content").mapInPandas(_members(False), MEMBER_SCHEMA).drop(
+        "content"
+    )
 
 
 def pick_members(members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -142,3 +158,15 @@ def member_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     return members.select(
         "archive", "member", F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line")
     ).filter("line != ''")
+
+
+def member_table(lines: DataFrame, type_of: Callable[[str], T.DataType]) -> DataFrame | None:
+    """One member's lines as a table: names from its header line, ``None`` if it has no lines."""
+    header = lines.orderBy("line_no").limit(1).collect()
+    if not header:
+        return None
+    names = next(csv.reader([header[0]["line"]]))
+    schema = T.StructType([T.StructField(n, type_of(n), True) for n in names])
+    ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    body = lines.filter(F.col("line_no") > header[0]["line_no"])
+    return body.select(F.from_csv("line", ddl).alias("row")).select("row.*")

@@ -33,6 +33,25 @@ def read_delimited(
     return reader.csv(path)
 
 
+def read_named(
+    spark: SparkSession,
+    path: str,
+    type_of: Callable[[str], T.DataType],
+    fmt: DelimitedFormat = DelimitedFormat(),
+) -> DataFrame:
+    """A table whose columns are known by rule only: names from its header, types from ``type_of``."""
+    names = (
+        spark.read.option("sep", fmt.separator)
+        .option("encoding", fmt.encoding)
+        .option("quote", '"' if fmt.quoted else "")
+        .option("header", "true")
+        .csv(path)
+        .columns
+    )
+    schema = T.StructType([T.StructField(n, type_of(n), True) for n in names])
+    return read_delimited(spark, path, schema, fmt)
+
+
 def replacement_characters(df: DataFrame) -> DataFrame:
     """Number of text cells holding U+FFFD: bytes the encoding could not read."""
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]

@@ -48,13 +48,18 @@ class DictionaryMetric:
 
 @dataclass(frozen=True)
 class PivotSpec:
-    """How a long or crosstab table turns into one column per key combination."""
+    """How a long or crosstab table turns into one column per key combination.
+
+    ``name_values`` puts the value column's name in front of the keys; by
+    default only when there are several value columns.
+    """
 
     geo_column: str
     value_columns: tuple[str, ...]
     key_columns: tuple[str, ...] = ()
     how: str = "sum"
     separator: str = "_"
+    name_values: bool | None = None
 
 
 @dataclass(frozen=True)

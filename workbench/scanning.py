@@ -152,7 +152,7 @@ def _wanted(spark, sf):
       CASE kind WHEN 'bad' THEN 'malformed' WHEN 'slip' THEN 'absent' WHEN 'none' THEN 'absent' ELSE 'ok' END AS status FROM k""",
 )
 def archive_member_pick(spark, sf):
-    return A.pick_members(A.expand_archives(landed_archives(spark, sf)), _wanted(spark, sf))
+    return A.pick_members(A.list_members(landed_archives(spark, sf)), _wanted(spark, sf))
 
 
 @query(
@@ -164,7 +164,7 @@ def archive_member_pick(spark, sf):
       CASE kind WHEN 'bad' THEN 'malformed' WHEN 'none' THEN 'absent' WHEN 'empty' THEN 'empty' ELSE 'ok' END AS status FROM k""",
 )
 def archive_member_fallback(spark, sf):
-    return A.pick_members_with_fallback(A.expand_archives(landed_archives(spark, sf)), _wanted(spark, sf))
+    return A.pick_members_with_fallback(A.list_members(landed_archives(spark, sf)), _wanted(spark, sf))
 
 
 @query(
