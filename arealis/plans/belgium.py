@@ -92,7 +92,7 @@ _START = date(2015, 10, 22)
 
 
 class Belgium(CountryPlan):
-    """Landed: ``catalogue.nt``, ``languages.nt``, ``tables/<node>``, ``sectors.geojson``."""
+    """Landed: ``catalogue.nt``, ``languages.nt``, ``tables/<node>``, ``sectors.geojsonseq``."""
 
     record = CountryRecord("Belgium", "Kingdom of Belgium", "BEL", "BE")
     publisher = PublisherRecord(
@@ -146,7 +146,7 @@ class Belgium(CountryPlan):
         )
 
     def boundary_layer(self, level: GeometryLevel) -> DataFrame:
-        features = boundaries.read_feature_collections(self.spark, f"{self.landed}/sectors.geojson")
+        features = self.features("sectors")
         wanted = {c for lv in self.levels for c in (lv.geo_id_column, *lv.name_columns.values())}
         return boundaries.with_properties(features, sorted(wanted))
 

@@ -103,7 +103,7 @@ def wide_metrics(table: DataFrame, specs: list[HeaderMetric]) -> DataFrame:
 
 
 class EnglandAndWales(CountryPlan):
-    """Landed: ``bulk`` and ``pages`` (parquet ``url, html``), ``archives/*.zip``, ``zones_<level>.geojson``."""
+    """Landed: ``bulk`` and ``pages`` (parquet ``url, html``), ``archives/*.zip``, ``zones_<level>.geojsonseq``."""
 
     record = CountryRecord("England and Wales", "England and Wales", "GBR", "GB", "GB-EAW")
     publisher = PublisherRecord(
@@ -137,16 +137,14 @@ class EnglandAndWales(CountryPlan):
         return M.geometry_table(self.spark, self.record.id, self.levels, CENSUS_DAY, CENSUS_DAY)
 
     def boundary_layer(self, level: GeometryLevel) -> DataFrame:
-        features = boundaries.read_feature_collections(
-            self.spark, f"{self.landed}/zones_{level.level}.geojson"
-        )
+        features = self.features(f"zones_{level.level}")
         return boundaries.with_properties(
             features, [level.geo_id_column, *level.name_columns.values()]
         )
 
     def picked_members(self) -> DataFrame:
         """Archive member and status per catalogue row; archives are named by their url."""
-        landed = archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+        landed = self.archives()
         name = F.regexp_extract("archive", r"([^/]*)$", 1)
         listed = archives.list_members(landed.withColumn("archive", name))
         wanted = self.catalogue().select(
@@ -161,7 +159,7 @@ class EnglandAndWales(CountryPlan):
         """Lines of all members, each archive unpacked once into the shared folder."""
         if self._lines_path is None:
             self._lines_path = scratch_path(self.spark, "members")
-            landed = archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+            landed = self.archives()
             name = F.regexp_extract("archive", r"([^/]*)$", 1)
             expanded = archives.expand_archives(landed.withColumn("archive", name))
             archives.member_lines(expanded).write.parquet(self._lines_path)

@@ -77,7 +77,7 @@ def _type_of(name: str) -> T.DataType:
 
 class NorthernIreland(CountryPlan):
     """Landed: ``metadata`` (parquet ``url, value``), ``tables/<level>/<id>.csv``,
-    ``zones_<level>.geojson``, ``zone_lookup.csv``."""
+    ``zones_<level>.geojsonseq``, ``zone_lookup.csv``."""
 
     record = CountryRecord("Northern Ireland", "Northern Ireland", "GBR", "GB", "GB-NIR")
     publisher = PublisherRecord(
@@ -107,9 +107,7 @@ class NorthernIreland(CountryPlan):
         return M.geometry_table(self.spark, self.record.id, self.levels, CENSUS_DAY, CENSUS_DAY)
 
     def boundary_layer(self, level: GeometryLevel) -> DataFrame:
-        features = boundaries.read_feature_collections(
-            self.spark, f"{self.landed}/zones_{level.level}.geojson"
-        )
+        features = self.features(f"zones_{level.level}")
         if level.left_on is None:
             return boundaries.with_properties(
                 features, [level.geo_id_column, *level.name_columns.values()]

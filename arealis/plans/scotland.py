@@ -168,7 +168,7 @@ def number_counts(table: DataFrame, values: list[str]) -> DataFrame:
 
 
 class Scotland(CountryPlan):
-    """Landed: ``archives/<source>.zip``, ``index.csv``, ``lookup/*.csv``, ``zones_<level>.geojson``."""
+    """Landed: ``archives/<source>.zip``, ``index.csv``, ``lookup/*.csv``, ``zones_<level>.geojsonseq``."""
 
     record = CountryRecord("Scotland", "Scotland", "GBR", "GB", "GB-SCT")
     publisher = PublisherRecord(
@@ -210,7 +210,7 @@ class Scotland(CountryPlan):
     def members(self) -> DataFrame:
         """Members of all archives with their level and table name."""
         found = archives.list_members(
-            archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+            self.archives()
         )
         source = F.regexp_replace(
             F.regexp_extract(F.url_decode("archive"), r"([^/]*)\.zip$", 1), "_", " "
@@ -265,9 +265,7 @@ class Scotland(CountryPlan):
         )
 
     def boundary_layer(self, level: GeometryLevel) -> DataFrame:
-        features = boundaries.read_feature_collections(
-            self.spark, f"{self.landed}/zones_{level.level}.geojson"
-        )
+        features = self.features(f"zones_{level.level}")
         names = [level.left_on] + (["Name"] if level.level == "DataZone2011" else [])
         layer = boundaries.with_properties(features, names)
         return join_on_names(layer, self.lookup(), level.left_on, level.right_on)
@@ -277,7 +275,7 @@ class Scotland(CountryPlan):
         if self._lines_path is None:
             self._lines_path = scratch_path(self.spark, "members")
             expanded = archives.expand_archives(
-                archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+                self.archives()
             )
             archives.member_lines(expanded).write.parquet(self._lines_path)
         return self.spark.read.parquet(self._lines_path)

@@ -15,6 +15,7 @@ from arealis.operators.reshape import fold_to_long
 from arealis.operators.sets import stack
 from arealis.schemas import published_schema
 from arealis.sinks import publish as sink
+from arealis.sources import archives, boundaries
 from arealis.specs import CountryRecord, GeometryLevel, PublisherRecord, ReleaseTemplate
 
 
@@ -25,6 +26,7 @@ class LevelOutput:
     level: GeometryLevel
     boundaries: DataFrame
     names: DataFrame
+    stem: str | None = None
 
 
 @dataclass
@@ -47,6 +49,9 @@ class CountryPlan(ABC):
     publisher: PublisherRecord
     levels: list[GeometryLevel] = []
     templates: list[ReleaseTemplate] = []
+    #: Landed boundary files: ``.geojsonseq`` (one feature per line, splits
+    #: across tasks) or ``.geojson`` (one document per file).
+    boundary_suffix = ".geojsonseq"
 
     def __init__(self, spark: SparkSession, landed: str, languages: DataFrame | None = None):
         self.spark = spark
@@ -80,6 +85,17 @@ class CountryPlan(ABC):
         """Source layer of a level, with its id and name columns and ``parts``."""
         raise NotImplementedError
 
+    def features(self, name: str) -> DataFrame:
+        """Landed features of a layer."""
+        path = f"{self.landed}/{name}{self.boundary_suffix}"
+        if self.boundary_suffix == ".geojson":
+            return boundaries.read_feature_collections(self.spark, path)
+        return boundaries.read_feature_lines(self.spark, path)
+
+    def archives(self) -> DataFrame:
+        """Landed zip files as ``(archive, content)``."""
+        return archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+
     def geometry(self) -> list[LevelOutput]:
         outputs = []
         for level in self.levels:
@@ -151,16 +167,22 @@ class CountryPlan(ABC):
                 .collect()
             }
             written += sink.write_geometry(
-                [(stems[o.level.level], o.boundaries, o.names) for o in self.geometry()],
+                [
+                    (o.stem or stems[o.level.level], o.boundaries, o.names)
+                    for o in self.geometry()
+                ],
                 self.geometry_metadata(),
                 self.languages,
                 base,
                 country,
             )
-        written += sink.write_metrics(
-            [(o.metrics, o.metadata) for o in outputs], base, country
+        return written + self.write_outputs(outputs, base)
+
+    def write_outputs(self, outputs: list[MetricsOutput], base: str) -> list[str]:
+        """Metric tables and all their metadata."""
+        return sink.write_metrics(
+            [(o.metrics, o.metadata) for o in outputs], base, self.record.id
         )
-        return written
 
 
 def case_sql(column: str, labels: dict, kind: str = "value") -> str:

@@ -23,6 +23,7 @@ from arealis.operators.sets import stack, union_with_precedence
 from arealis.plans.template import CountryPlan, LevelOutput, MetricsOutput
 from arealis.schemas import GEO_ID
 from arealis.session import scratch_path
+from arealis.sinks import publish as sink
 from arealis.sources import boundaries, delimited, pages
 from arealis.specs import (
     CountryRecord,
@@ -173,7 +174,7 @@ def bulk_level_table(
 class UnitedStates(CountryPlan):
     """Landed per year and period: ``index/<year>_<period>`` (parquet ``url, html``),
     ``tables/<year>_<period>/<file>``, ``geoids/<year>_<period>``, ``shells/<year>_<period>``;
-    ``areas/<year>_<level>.geojson``."""
+    ``areas/<year>_<level>.geojsonseq``."""
 
     record = CountryRecord("United States", "United States of America", "USA", "US")
     publisher = PublisherRecord(
@@ -184,6 +185,7 @@ class UnitedStates(CountryPlan):
         "American people and economy.",
         ("usa",),
     )
+    levels = LEVELS
     years = YEARS
     batch_size = BATCH_SIZE
 
@@ -240,13 +242,12 @@ class UnitedStates(CountryPlan):
         for year in self.years:
             names = self.area_names(year)
             for level in LEVELS:
-                features = boundaries.read_feature_collections(
-                    self.spark, f"{self.landed}/areas/{year}_{level.level}.geojson"
-                )
+                features = self.features(f"areas/{year}_{level.level}")
                 layer = boundaries.with_properties(features, ["AFFGEOID"]).withColumnRenamed("AFFGEOID", GEO_ID)
                 known = level_boundaries(layer, level).join(names.select(GEO_ID), GEO_ID, "left_semi")
                 kept = names.join(known.select(GEO_ID), GEO_ID, "left_semi").distinct()
-                outputs.append(LevelOutput(level, known, kept))
+                stem = f"{self.record.id}/geometries/{level.level}_{year}"
+                outputs.append(LevelOutput(level, known, kept, stem))
         return outputs
 
     def source_data_releases(self) -> DataFrame:
@@ -359,6 +360,12 @@ class UnitedStates(CountryPlan):
         metadata = M.complete_metric_rows(stack(rows, allow_missing=True), self.source_metric(partition_key))
         return MetricsOutput(table, metadata)
 
+    def write_outputs(self, outputs: list[MetricsOutput], base: str) -> list[str]:
+        """Partition by partition: margin columns are written but not described."""
+        written = [sink.write_partition(o.metrics, o.metadata, base) for o in outputs]
+        metadata = stack([o.metadata for o in outputs])
+        return [*written, sink.write_metadata(metadata, base, self.record.id)]
+
 
 def merge_year(
     plan: UnitedStates, year: int, period: str, names: list[str], write: Callable[[DataFrame, str], None]
