@@ -249,7 +249,11 @@ def build_rings(
     """Rings of each area as points ``(r_ax, r_ay, r_bx, r_by, seq, x, y)``.
 
     A ring is named after its smallest edge.  The last point is not repeated.
+    The outline is far smaller than the layer it comes from and is used more
+    than once, so it is checkpointed.
     """
+    ensure_checkpoint_dir(outline.sparkSession)
+    outline = outline.checkpoint()
     sizes = outline.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     large = sizes.filter(F.col("_n") > edges_per_task).drop("_n")
     schema = ", ".join(

@@ -16,6 +16,7 @@ from arealis.operators.quality import (
 )
 from arealis.operators.sets import stack
 from arealis.schemas import FILE_NAMES, GEO_ID, published_schema
+from arealis.session import scratch_path
 
 
 def _join(base: str, relative: str) -> str:
@@ -60,34 +61,38 @@ def write_metrics(outputs: list[tuple[DataFrame, DataFrame]], base: str, country
     """Metric tables at their metadata's path, and all metric metadata in one file.
 
     ``outputs`` pairs metrics with published metadata.  Every check runs before
-    anything is written.
+    anything is published.  Metadata usually comes out of the whole source
+    table, so it is computed once into the shared folder and checked there.
     """
-    tagged = []
-    for i, (metrics, metadata) in enumerate(outputs):
-        require_metric_columns(metrics, metadata)
-        tagged.append(metadata.withColumn("output", F.lit(i)))
-    everything = stack(tagged)
+    if not outputs:
+        raise ValueError("no metrics to publish")
+    spark = outputs[0][0].sparkSession
+    staged = scratch_path(spark, "metric-metadata")
+    stack([metadata.withColumn("output", F.lit(i)) for i, (_, metadata) in enumerate(outputs)]).write.parquet(staged)
+    everything = spark.read.parquet(staged)
+    for i, (metrics, _) in enumerate(outputs):
+        require_metric_columns(metrics, everything.filter(F.col("output") == i))
     require_no_rows(path_problems(everything, "output"), "metric paths clash")
-    written = []
     paths = {
         r["output"]: r["metric_parquet_path"]
         for r in everything.select("output", "metric_parquet_path").distinct().collect()
     }
     write_table(everything.drop("output"), base, f"{country}/{FILE_NAMES['metric']}")
-    for i, (metrics, _) in enumerate(outputs):
-        written.append(write_table(metric_output(metrics), base, paths[i]))
-    return written
+    return [
+        write_table(metric_output(metrics), base, paths[i]) for i, (metrics, _) in enumerate(outputs)
+    ]
 
 
 def write_long_metrics(df: DataFrame, base: str, name: str = "metrics_long") -> str:
     """All partitions of all countries in one write, one folder per partition.
 
-    Rows are spread by partition and area, so a large partition is written by
-    many tasks; only the folders present in ``df`` are replaced.
+    Rows are rebalanced by partition: adaptive execution splits a large one into
+    files of the advisory size and puts small ones together.  Only the folders
+    present in ``df`` are replaced.
     """
     path = _join(base, name)
     (
-        df.repartition("country_id", "partition_key", F.pmod(F.hash(GEO_ID), F.lit(64)))
+        df.hint("rebalance", "country_id", "partition_key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("country_id", "partition_key")

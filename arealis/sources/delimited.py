@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,15 +68,16 @@ def read_with_encodings(
     path: str,
     schema: T.StructType | str,
     encodings: list[str],
-    separator: str = "|",
-    quoted_cells: bool = False,
+    fmt: DelimitedFormat = DelimitedFormat("|", quoted=False),
 ) -> DataFrame:
-    """The first encoding in the list that reads every text cell."""
+    """The first encoding in the list that reads every text cell.
+
+    Every candidate tried costs one pass over the text columns; name the likely
+    one first.
+    """
     for encoding in encodings:
-        df = read_delimited(
-            spark, path, schema, DelimitedFormat(separator, encoding, quoted_cells)
-        )
-        if df.agg(F.lit(1)).isEmpty() or replacement_characters(df).first()["bad_cells"] == 0:
+        df = read_delimited(spark, path, schema, replace(fmt, encoding=encoding))
+        if replacement_characters(df).first()["bad_cells"] == 0:
             return df
     raise ValueError(f"none of {encodings} reads {path}")
 

@@ -188,17 +188,23 @@ HEADER_METRICS = [
 def wide_by_header(spark, sf):
     """The population as a wide table whose headers spell out sex and age."""
     counted = population(spark, sf).groupBy("GEO_ID", "sex", "age").agg(F.sum("count").alias("n"))
-    wanted = {
-        name: F.sum(
-            F.when(
-                (F.lit(True) if sex is None else F.col("sex") == sex)
-                & (F.lit(True) if age is None else F.col("age") == age),
-                F.col("n"),
-            )
-        ).alias(name)
-        for name, sex, age in HEADERS
-    }
-    return counted.groupBy("GEO_ID").agg(*wanted.values())
+    age = F.col("age")
+    aged = F.concat(
+        F.lit("Age: "),
+        F.when(age == 0, "Aged under 1 year")
+        .when(age == 49, "Aged 90 years and over")
+        .when(age == 1, "Aged 1 year")
+        .otherwise(F.concat(F.lit("Aged "), age.cast("string"), F.lit(" years"))),
+        F.lit("; measures: Value"),
+    )
+    sexes = F.array_compact(F.array(F.lit("All persons"), F.col("sex")))
+    ages = F.array(F.lit("Age: Total; measures: Value"), aged)
+    long = (
+        counted.select("GEO_ID", "n", F.explode(sexes).alias("s"), ages.alias("ages"))
+        .select("GEO_ID", "n", "s", F.explode("ages").alias("a"))
+        .select("GEO_ID", F.concat(F.lit("Sex: "), "s", F.lit("; "), "a").alias("header"), "n")
+    )
+    return long.groupBy("GEO_ID").pivot("header", [h for h, _, _ in HEADERS]).agg(F.sum("n"))
 
 
 _HEADER_SQL = f"""WITH {POP} SELECT "GEO_ID",

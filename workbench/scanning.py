@@ -67,12 +67,8 @@ def encoding_candidates(spark, sf):
     )
     lines = rows.select(F.concat_ws("|", "CD_SECTOR", "NAME").alias("value"))
     lines.write.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").option("emptyValue", "").csv(path)
-    for encoding in ("UTF-8", "ISO-8859-1"):
-        fmt = DelimitedFormat("|", encoding, quoted=False, header=False)
-        df = D.read_delimited(spark, path, rows.schema, fmt)
-        if D.replacement_characters(df).first()["bad_cells"] == 0:
-            return df
-    raise ValueError("no encoding fits")
+    fmt = DelimitedFormat("|", quoted=False, header=False)
+    return D.read_with_encodings(spark, path, rows.schema, ["UTF-8", "ISO-8859-1"], fmt)
 
 
 @query(
