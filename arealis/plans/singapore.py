@@ -19,7 +19,7 @@ def subzones(features: DataFrame) -> DataFrame:
 
 def population(spark: SparkSession, path: str) -> DataFrame:
     """Population per subzone, gender and age band from a landed table document."""
-    documents = spark.read.option("wholetext", "true").text(path)
+    documents = spark.read.text(path, wholetext=True)
     return nested.subzone_population(documents)
 
 

@@ -43,7 +43,7 @@ def features_from_text(df: DataFrame, text: str) -> DataFrame:
 
 def read_feature_collections(spark: SparkSession, path: str) -> DataFrame:
     """Whole GeoJSON documents, one per file."""
-    documents = spark.read.option("wholetext", "true").text(path)
+    documents = spark.read.text(path, wholetext=True)
     return features_from_collections(documents, "value")
 
 
