@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arealis.operators.sets import stack
 from arealis.schemas import GEO_ID
-from arealis.session import ensure_checkpoint_dir
+from arealis.session import ensure_checkpoint_dir, scratch_path
 from arealis.specs import GeometryLevel
 
 #: Areas with more boundary edges than this are stitched by joins, not in one task.
@@ -356,24 +357,49 @@ def assemble_parts(rings: DataFrame, group: list[str]) -> DataFrame:
 
 def dissolve(
     layer: DataFrame,
-    by: str,
+    by: str | list[str],
     first_of: list[str] | None = None,
     row_order: str | None = None,
     edges_per_task: int = EDGES_PER_TASK,
 ) -> DataFrame:
     """Union of the areas that share ``by``, with the first of other attributes."""
-    outline = dissolve_edges(ring_edges(layer, [by]), [by])
-    rings = ring_table(build_rings(outline, [by], edges_per_task), [by])
-    shapes = assemble_parts(assign_holes(rings, [by]), [by])
+    group = [by] if isinstance(by, str) else by
+    outline = dissolve_edges(ring_edges(layer, group), group)
+    rings = ring_table(build_rings(outline, group, edges_per_task), group)
+    shapes = assemble_parts(assign_holes(rings, group), group)
     if not first_of:
         return shapes
     order = F.col(row_order) if row_order else F.struct(*first_of)
-    firsts = (
-        layer.filter(F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in first_of])
+    keyed = layer
+    for g in group:
+        keyed = keyed.filter(F.col(g).isNotNull())
+    firsts = keyed.groupBy(*group).agg(
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in first_of]
+    )
+    return shapes.join(firsts, group)
+
+
+def dissolve_layers(layers: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    """Boundary tables of several layers, each given with its id column.
+
+    All layers go through one dissolve, whose result is written to the shared
+    folder once: publishing writes every boundary in more than one format.
+    """
+    spark = next(iter(layers.values()))[0].sparkSession
+    stacked = stack(
+        [
+            layer.select(
+                F.lit(name).alias("layer"), F.col(geo).cast("string").alias(GEO_ID), "parts"
+            )
+            for name, (layer, geo) in layers.items()
+        ]
     )
-    return shapes.join(firsts, by)
+    path = scratch_path(spark, "boundaries")
+    dissolve(stacked, ["layer", GEO_ID]).write.partitionBy("layer").parquet(path)
+    dissolved = spark.read.parquet(path)
+    return {
+        name: dissolved.filter(F.col("layer") == name).select(GEO_ID, "parts") for name in layers
+    }
 
 
 def level_boundaries(layer: DataFrame, level: GeometryLevel) -> DataFrame:

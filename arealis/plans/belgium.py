@@ -111,7 +111,7 @@ class Belgium(CountryPlan):
     ]
     required: list[str] | None = [GEOMETRY_DATASET, *DATASETS]
 
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         graph = triples.read_triples(self.spark, f"{self.landed}/catalogue.nt")
         codes = triples.read_triples(self.spark, f"{self.landed}/languages.nt")
         datasets = triples.objects(graph, triples.DATASET).select(F.col("o").alias("s"))

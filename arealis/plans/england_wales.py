@@ -16,7 +16,6 @@ from arealis.operators.quality import AssumptionsOutdated
 from arealis.operators.sets import stack
 from arealis.plans.template import CountryPlan, MetricsOutput
 from arealis.schemas import GEO_ID
-from arealis.session import scratch_path
 from arealis.sources import archives, boundaries, pages
 from arealis.specs import CountryRecord, GeometryLevel, HeaderMetric, PublisherRecord, ReleaseTemplate
 
@@ -125,9 +124,8 @@ class EnglandAndWales(CountryPlan):
         )
     ]
     required: list[str] | None = None
-    _lines_path: str | None = None
 
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         downloads = bulk_downloads(self.spark.read.parquet(f"{self.landed}/bulk"))
         descriptions = pages.section_text(self.spark.read.parquet(f"{self.landed}/pages"), SECTION)
         found = bulk_catalogue(downloads, descriptions, [lv.level for lv in self.levels])
@@ -142,11 +140,13 @@ class EnglandAndWales(CountryPlan):
             features, [level.geo_id_column, *level.name_columns.values()]
         )
 
+    def named_archives(self) -> DataFrame:
+        """Archives under the file name their url ends with."""
+        return self.archives().withColumn("archive", F.regexp_extract("archive", r"([^/]*)$", 1))
+
     def picked_members(self) -> DataFrame:
-        """Archive member and status per catalogue row; archives are named by their url."""
-        landed = self.archives()
-        name = F.regexp_extract("archive", r"([^/]*)$", 1)
-        listed = archives.list_members(landed.withColumn("archive", name))
+        """Archive member and status per catalogue row."""
+        listed = archives.list_members(self.named_archives())
         wanted = self.catalogue().select(
             "partition_key",
             F.regexp_extract("source_download_url", r"([^/]*)$", 1).alias("archive"),
@@ -156,18 +156,15 @@ class EnglandAndWales(CountryPlan):
         return wanted.join(picked, ["archive", "wanted"])
 
     def lines(self) -> DataFrame:
-        """Lines of all members, each archive unpacked once into the shared folder."""
-        if self._lines_path is None:
-            self._lines_path = scratch_path(self.spark, "members")
-            landed = self.archives()
-            name = F.regexp_extract("archive", r"([^/]*)$", 1)
-            expanded = archives.expand_archives(landed.withColumn("archive", name))
-            archives.member_lines(expanded).write.parquet(self._lines_path)
-        return self.spark.read.parquet(self._lines_path)
+        """Lines of all archive members, each archive unpacked once."""
+        return self.kept(
+            "lines",
+            lambda: archives.member_lines(archives.expand_archives(self.named_archives())),
+        )
 
     def census_table(self, partition_key: str) -> DataFrame | None:
         """``None`` when this table does not exist at this level, which is no failure."""
-        row = self.picked_members().filter(F.col("partition_key") == partition_key).first()
+        row = self.kept("members", self.picked_members).filter(F.col("partition_key") == partition_key).first()
         if row is None or row["status"] != "ok":
             return None
         lines = self.lines().filter(

@@ -98,7 +98,7 @@ class NorthernIreland(CountryPlan):
     ]
     required: list[str] | None = None
 
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         documents = self.spark.read.parquet(f"{self.landed}/metadata")
         found = nested.level_catalogue(documents, [lv.level for lv in self.levels])
         return found if self.required is None else found.filter(F.col("table_id").isin(self.required))

@@ -23,7 +23,6 @@ from arealis.operators.reshape import melt_crosstab, pivot_table, unpivot_values
 from arealis.operators.sets import stack
 from arealis.plans.template import CountryPlan, MetricsOutput
 from arealis.schemas import GEO_ID
-from arealis.session import scratch_path
 from arealis.sources import archives, boundaries, delimited
 from arealis.specs import (
     CountryRecord,
@@ -195,7 +194,6 @@ class Scotland(CountryPlan):
     ]
     required: list[str] | None = None
     allow_missing = True
-    _lines_path: str | None = None
 
     def index(self) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in INDEX_COLUMNS])
@@ -220,7 +218,7 @@ class Scotland(CountryPlan):
             {"source": source, "resolution": F.element_at(level, source)}
         )
 
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         described = self.members().join(self.index(), "table_name")
         keyed = described.select(
             key_of(F.col("year").cast("int"), F.col("resolution"), F.col("table_name")).alias(
@@ -271,14 +269,10 @@ class Scotland(CountryPlan):
         return join_on_names(layer, self.lookup(), level.left_on, level.right_on)
 
     def lines(self) -> DataFrame:
-        """Lines of all table members, unpacked once into the shared folder."""
-        if self._lines_path is None:
-            self._lines_path = scratch_path(self.spark, "members")
-            expanded = archives.expand_archives(
-                self.archives()
-            )
-            archives.member_lines(expanded).write.parquet(self._lines_path)
-        return self.spark.read.parquet(self._lines_path)
+        """Lines of all archive members, each archive unpacked once."""
+        return self.kept(
+            "lines", lambda: archives.member_lines(archives.expand_archives(self.archives()))
+        )
 
     def census_table(self, partition_key: str) -> DataFrame | None:
         row = self.catalogue().filter(F.col("partition_key") == partition_key).first()

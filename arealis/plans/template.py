@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.operators.columns import quoted
-from arealis.operators.geometry import level_boundaries, level_names
+from arealis.operators.geometry import dissolve_layers, level_names
 from arealis.operators.metadata import country_table, publisher_table, release_rows
 from arealis.operators.reshape import fold_to_long
 from arealis.operators.sets import stack
 from arealis.schemas import published_schema
+from arealis.session import scratch_path
 from arealis.sinks import publish as sink
 from arealis.sources import archives, boundaries
 from arealis.specs import CountryRecord, GeometryLevel, PublisherRecord, ReleaseTemplate
@@ -57,6 +59,15 @@ class CountryPlan(ABC):
         self.spark = spark
         self.landed = landed.rstrip("/")
         self.languages = languages
+        self._paths: dict[str, str] = {}
+
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table computed once per plan, into the shared folder."""
+        if name not in self._paths:
+            path = scratch_path(self.spark, name)
+            build().write.parquet(path)
+            self._paths[name] = path
+        return self.spark.read.parquet(self._paths[name])
 
     # Metadata steps -----------------------------------------------------
 
@@ -67,14 +78,20 @@ class CountryPlan(ABC):
         return publisher_table(self.spark, self.publisher)
 
     @abstractmethod
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         """One row per source table, with ``partition_key``."""
 
+    def catalogue(self) -> DataFrame:
+        return self.kept("catalogue", self.build_catalogue)
+
     @abstractmethod
     def geometry_metadata(self) -> DataFrame:
         """Published geometry metadata."""
 
     def source_data_releases(self) -> DataFrame:
+        return self.kept("releases", self.build_releases)
+
+    def build_releases(self) -> DataFrame:
         """Releases with ``release_key`` and ``geometry_level``; the publisher id is one value."""
         publisher_id = self.data_publisher().first()["data_publisher_id"]
         return release_rows(self.geometry_metadata(), self.templates, publisher_id)
@@ -97,13 +114,14 @@ class CountryPlan(ABC):
         return archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
 
     def geometry(self) -> list[LevelOutput]:
-        outputs = []
-        for level in self.levels:
-            layer = self.boundary_layer(level)
-            outputs.append(
-                LevelOutput(level, level_boundaries(layer, level), level_names(layer, level))
-            )
-        return outputs
+        layers = {level.level: self.boundary_layer(level) for level in self.levels}
+        shapes = dissolve_layers(
+            {level.level: (layers[level.level], level.geo_id_column) for level in self.levels}
+        )
+        return [
+            LevelOutput(level, shapes[level.level], level_names(layers[level.level], level))
+            for level in self.levels
+        ]
 
     @abstractmethod
     def census_table(self, partition_key: str) -> DataFrame | None:

@@ -15,7 +15,7 @@ from arealis.functions.text import title_case
 from arealis.operators import metadata as M
 from arealis.operators.columns import not_blank, quoted, survey_columns
 from arealis.operators.derive import add_dictionary_metrics
-from arealis.operators.geometry import level_boundaries
+from arealis.operators.geometry import dissolve_layers
 from arealis.operators.grouping import batches
 from arealis.operators.joins import concat_columns
 from arealis.operators.ordered import carry_forward, stub_paths
@@ -192,7 +192,7 @@ class UnitedStates(CountryPlan):
     def _periods(self, year: int) -> list[str]:
         return [p for p in PERIODS if any(has_tables(year, p, lv) for lv in SUMMARY_LEVELS)]
 
-    def catalogue(self) -> DataFrame:
+    def build_catalogue(self) -> DataFrame:
         listed = []
         for year in self.years:
             for period in self._periods(year):
@@ -238,19 +238,27 @@ class UnitedStates(CountryPlan):
         )
 
     def geometry(self) -> list[LevelOutput]:
+        layers = {
+            f"{year}_{level.level}": (self.features(f"areas/{year}_{level.level}"), level, year)
+            for year in self.years
+            for level in LEVELS
+        }
+        shapes = dissolve_layers(
+            {
+                key: (boundaries.with_properties(features, ["AFFGEOID"]), "AFFGEOID")
+                for key, (features, _, _) in layers.items()
+            }
+        )
         outputs = []
-        for year in self.years:
-            names = self.area_names(year)
-            for level in LEVELS:
-                features = self.features(f"areas/{year}_{level.level}")
-                layer = boundaries.with_properties(features, ["AFFGEOID"]).withColumnRenamed("AFFGEOID", GEO_ID)
-                known = level_boundaries(layer, level).join(names.select(GEO_ID), GEO_ID, "left_semi")
-                kept = names.join(known.select(GEO_ID), GEO_ID, "left_semi").distinct()
-                stem = f"{self.record.id}/geometries/{level.level}_{year}"
-                outputs.append(LevelOutput(level, known, kept, stem))
+        for key, (_, level, year) in layers.items():
+            names = self.kept(f"names_{year}", lambda y=year: self.area_names(y))
+            known = shapes[key].join(names.select(GEO_ID), GEO_ID, "left_semi")
+            kept = names.join(known.select(GEO_ID), GEO_ID, "left_semi").distinct()
+            stem = f"{self.record.id}/geometries/{level.level}_{year}"
+            outputs.append(LevelOutput(level, known, kept, stem))
         return outputs
 
-    def source_data_releases(self) -> DataFrame:
+    def build_releases(self) -> DataFrame:
         publisher_id = self.data_publisher().first()["data_publisher_id"]
         frames = []
         for year in self.years:
