@@ -66,19 +66,27 @@ def dictionary_variables(
     The result is bounded by the names the specs list.  A dictionary that
     matches more or fewer variables than names is an error.
     """
-    picks = [
-        dictionary.filter(
+    names = [
+        F.when(
             F.col("variable_extended_name").isin(list(s.variables))
             & (F.lower("universe") == s.universe)
-            & F.col("table_id").startswith(s.table_prefix)
+            & F.col("table_id").startswith(s.table_prefix),
+            F.lit(s.name),
         )
-        .select(F.lit(s.name).alias("metric"), F.col("unique_id").alias("variable"))
-        .distinct()
-        .limit(len(set(s.variables)) + 1)
         for s in specs
     ]
+    bound = sum(len(set(s.variables)) for s in specs)
+    rows = (
+        dictionary.select(
+            F.explode(F.array_compact(F.array(*names))).alias("metric"),
+            F.col("unique_id").alias("variable"),
+        )
+        .distinct()
+        .limit(bound + 1)
+        .collect()
+    )
     found: dict[str, list[str]] = {s.name: [] for s in specs}
-    for row in reduce(lambda a, b: a.unionByName(b), picks).collect():
+    for row in rows:
         found[row.metric].append(row.variable)
     for s in specs:
         if len(found[s.name]) != len(set(s.variables)):

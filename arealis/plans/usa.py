@@ -337,7 +337,9 @@ class UnitedStates(CountryPlan):
         if row is None or table is None or not survey_columns(table, "E") or table.isEmpty():
             return None
         year, period = row["year"], row["summary_level"]
-        dictionary = self.dictionary(year, period)
+        dictionary = self.kept(
+            f"dictionary_{year}_{period}", lambda: self.dictionary(year, period)
+        )
         path = f"{self.record.id}/metrics/{''.join(c for c in partition_key if c.isalnum())}.parquet"
         columns = self.spark.createDataFrame(
             [(c,) for c in survey_columns(table, "E")], "parquet_column_name string"

@@ -388,10 +388,23 @@ def job_survey(spark, sf):
     return output.metrics.select("GEO_ID", *[m.name for m in AGE_METRICS], "B01001_E005", "B02001_E001")
 
 
-@query(
-    "job_survey_dictionary",
-    None,
-)
+def _survey_variable_sql():
+    """One row per variable of the survey tables, path and age range spelled out."""
+    parts = []
+    for name, sex, low, high in _survey_columns():
+        steps = ["Total"] + ([sex] if sex else [])
+        if sex and (low, high) != (0, 999):
+            steps.append(next(label for label, end in SURVEY_AGES if end == high))
+        where = f"age >= {low} AND age < {high}" + (f" AND sex = '{sex}'" if sex else "")
+        parts.append(
+            f"SELECT 'Sex By Age' AS table_name, 'Total population' AS universe, '{'|'.join(steps)}' AS variable_extended_name, "
+            f"CAST(coalesce(sum(count) FILTER (WHERE {where}), 0) AS BIGINT) AS value FROM p"
+        )
+    parts.append("SELECT 'Race', 'Total population', 'Total|Total', CAST(count(*) AS BIGINT) FROM obs")
+    return f"WITH {POP}, p AS (SELECT * FROM pop WHERE sex IS NOT NULL), {OBS} " + " UNION ALL ".join(parts)
+
+
+@query("job_survey_dictionary", _survey_variable_sql())
 def job_survey_dictionary(spark, sf):
     plan = usa.UnitedStates(spark, land_survey(spark, sf))
     plan.years = [2019]
