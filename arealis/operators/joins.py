@@ -48,18 +48,38 @@ def null_matching_join(
     return left.join(right, left[left_on].eqNullSafe(right[right_on]), how)
 
 
-def join_all(frames: list[DataFrame], on: list[str], how: str = "inner") -> DataFrame:
-    """N-way join on one key.
+def join_all(frames: list[DataFrame], on: list[str]) -> DataFrame:
+    """N-way inner join on one key.
 
     All joins share the key, so Spark keeps one partitioning through the chain
     and each input is shuffled once.
     """
-    return reduce(lambda left, right: left.join(right, on, how), frames)
+    return reduce(lambda left, right: left.join(right, on), frames)
+
+
+def outer_join_all(frames: list[DataFrame], on: list[str]) -> DataFrame:
+    """N-way full outer join on one key, null keys matching each other.
+
+    A chain of full outer joins would shuffle its growing left side again for
+    every table.  Here all keys are gathered first and each table is
+    left-joined to them: the keys keep their partitioning, so every table is
+    shuffled once, plus its key columns.
+    """
+    keys = reduce(
+        lambda a, b: a.unionByName(b), [f.select(*on) for f in frames]
+    ).distinct()
+    for i, frame in enumerate(frames):
+        named = frame.withColumnsRenamed({c: f"_{i}_{c}" for c in on})
+        same = reduce(
+            lambda a, b: a & b, [keys[c].eqNullSafe(named[f"_{i}_{c}"]) for c in on]
+        )
+        keys = keys.join(named, same, "left").drop(*[f"_{i}_{c}" for c in on])
+    return keys
 
 
 def concat_columns(frames: list[DataFrame], on: list[str]) -> DataFrame:
     """Put tables side by side by key; a key absent from one table gives nulls."""
-    return join_all(frames, on, "full_outer")
+    return frames[0] if len(frames) == 1 else outer_join_all(frames, on)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

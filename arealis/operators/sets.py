@@ -19,7 +19,7 @@ def union_with_precedence(
     preferred: DataFrame, other: DataFrame, key: str
 ) -> DataFrame:
     """All preferred rows, then the other rows whose key the preferred ones lack."""
-    extra = other.join(preferred.select(key).distinct(), key, "left_anti")
+    extra = other.join(preferred.select(key), key, "left_anti")
     return preferred.unionByName(extra.select(*other.columns), allowMissingColumns=True)
 
 

@@ -82,7 +82,7 @@ def pick_members(members: DataFrame, wanted: DataFrame) -> DataFrame:
     ``absent`` or ``malformed``.
     """
     listed = members.select("archive", "member", "problem")
-    matched = wanted.join(listed, "archive", "left")
+    matched = wanted.select("archive", "wanted").distinct().join(listed, "archive", "left")
     ends = F.endswith(F.col("member"), F.col("wanted"))
     per = matched.groupBy("archive", "wanted").agg(
         F.count("member").alias("n_members"),
@@ -111,7 +111,7 @@ def pick_members_with_fallback(members: DataFrame, wanted: DataFrame) -> DataFra
     A zero-sized member counts as absent: the table is treated as empty.
     """
     listed = members.select("archive", "member", "size", "problem")
-    matched = wanted.join(listed, "archive", "left")
+    matched = wanted.select("archive", "wanted").distinct().join(listed, "archive", "left")
     ends = F.endswith(F.col("member"), F.col("wanted"))
     slip = F.endswith(F.col("member"), double_dot_variant(F.col("wanted")))
 
@@ -149,7 +149,7 @@ def table_members(members: DataFrame, index: DataFrame) -> DataFrame:
     named = members.filter(~F.contains(F.lower("member"), F.lit("bulk_output"))).withColumn(
         "table_name", F.substring_index("member", ".csv", 1)
     )
-    return named.join(index.select("table_name").distinct(), "table_name", "left_semi")
+    return named.join(index.select("table_name"), "table_name", "left_semi")
 
 
 def member_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:

@@ -74,10 +74,11 @@ def text_by_language(triples: DataFrame, predicate: str, requested: str = "en")
     """One text per subject: the requested language, else en, fr, de, nl.
 
     A subject with none of them gets a null text; literals without a language
-    tag are not eligible.
+    tag are not eligible.  Repeated triples do not matter to the pick, so the
+    texts are folded on the map side instead of being made distinct first.
     """
     return (
-        objects(triples, predicate)
+        triples.filter(F.col("p") == predicate)
         .groupBy("s")
         .agg(
             preferred(F.col("o"), F.col("lang"), ranked_languages(requested), F.col("o")).alias(

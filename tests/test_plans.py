@@ -5,7 +5,6 @@ import os
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from arealis.plans import belgium, england_wales, northern_ireland, open_boundaries, scotland, singapore, usa
 from arealis.sources import boundaries
@@ -281,4 +280,3 @@ def test_singapore(spark, tmp_path):
     people = singapore.population(spark, f"{tmp_path}/p.json")
     row = singapore.total_population_areas(areas, people).first()
     assert (row.subzone, row.planning_area, row.region, row.population) == ("TOWN", "CORE", "EAST", 9)
-    assert F is not None

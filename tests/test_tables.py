@@ -4,7 +4,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from arealis.operators import columns as C
 from arealis.operators import grouping as G
@@ -15,7 +14,7 @@ from arealis.operators.reshape import pivot_codes_and_labels, pivot_metrics, piv
 from arealis.plans.england_wales import AGE_METRICS, wide_metrics
 from arealis.plans.northern_ireland import AGE_METRICS as LONG_METRICS
 from arealis.plans.usa import AGE_METRICS as SURVEY_METRICS
-from arealis.specs import DerivedMetric, PivotSpec
+from arealis.specs import PivotSpec
 
 
 def frame(df):
@@ -157,6 +156,12 @@ def test_one_to_one(spark):
         J.one_to_one_join(once, twice, ["k"])
 
 
+def test_outer_join_of_many_matches_null_keys(spark):
+    frames = [spark.createDataFrame(rows, f"k string, v{i} int") for i, rows in enumerate(([("a", 1), (None, 2)], [("b", 3), (None, 4)], [("a", 5)]))]
+    got = {tuple(r) for r in J.outer_join_all(frames, ["k"]).collect()}
+    assert got == {("a", 1, None, 5), ("b", None, 3, None), (None, 2, 4, None)}
+
+
 def test_sets(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",)], "n string")
     b = spark.createDataFrame([("y",), ("z",)], "n string")
@@ -176,5 +181,3 @@ def test_grouping(spark):
     assert tuple(G.key_uniqueness(df, ["g"]).first()) == (23, 1, False)
     assert tuple(G.key_uniqueness(df.limit(0), ["g"]).first()) == (0, 0, True)
     assert G.split_levels(spark.createDataFrame([("a", 50), ("b", 10)], "GEO_ID string, SUMLEVEL int"), {"county": 50})["county"].collect()[0].asDict() == {"GEO_ID": "a"}
-    assert DerivedMetric("a", "true", "#x", "A").name == "a"
-    assert F is not None

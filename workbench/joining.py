@@ -94,7 +94,7 @@ def inner_join_many(spark, sf):
 )
 def outer_join_many(spark, sf):
     key = ["GEO_ID", "segment", "priority", "year"]
-    return J.join_all(_status_sums(spark, sf, key), key, "full_outer")
+    return J.outer_join_all(_status_sums(spark, sf, key), key)
 
 
 @query(

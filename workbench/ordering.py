@@ -8,6 +8,9 @@ from arealis.functions.text import description_to_names
 from arealis.operators import grouping as G
 from arealis.operators import ordered as O
 from workbench.base import query, table
+#: Turns per chunk.  A conversation of any length is carried along in pieces.
+CHUNK = 100_000
+
 
 def _turns(spark, sf):
     """Turns with whole texts; user and system turns act as headings."""
@@ -26,7 +29,7 @@ def forward_fill(spark, sf):
     filled = O.carry_forward(
         turns,
         ["conv_id"],
-        F.floor(F.col("turn") / 2),
+        F.expr(f"turn div {CHUNK}"),
         [F.col("turn"), F.col("text")],
         {
             "title": F.when(F.col("role") != "assistant", F.col("text")),
@@ -58,7 +61,7 @@ def stub_paths(spark, sf):
         "turn",
         F.when(F.col("role") == "assistant", plain).otherwise(F.concat(plain, F.lit(":"))).alias("stub"),
     )
-    return O.stub_paths(stubs, ["conv_id"], F.floor(F.col("turn") / 2), F.col("turn"), "stub").select(
+    return O.stub_paths(stubs, ["conv_id"], F.expr(f"turn div {CHUNK}"), F.col("turn"), "stub").select(
         "conv_id", "turn", "variable_extended_name"
     )
 
