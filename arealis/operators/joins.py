@@ -7,18 +7,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A lookup side up to this many rows is sent to every executor.
+from arealis.operators.columns import quoted
+
+#: A lookup side within both bounds is sent to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it is proven to hold at most ``max_rows`` rows.
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast if it is proven to stay within both bounds.
 
-    The proof is a count that stops after ``max_rows + 1`` rows.  A larger side
-    is returned unmarked: the join then shuffles, adaptive execution splits
-    its hot keys, and the result is the same.
+    The proof counts rows, and their size as text, and stops after
+    ``max_rows + 1`` rows.  A larger side is returned unmarked: the join then
+    shuffles, adaptive execution splits its hot keys, and the result is the
+    same.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    size = F.octet_length(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes")
+    ).first()
+    if seen["n"] <= max_rows and seen["n_bytes"] <= max_bytes:
         return F.broadcast(df)
     return df
 

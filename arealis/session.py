@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for one written table or stream."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_packages(spark: SparkSession, folder: str | Path, packages: list[str]) -> None:
+    """Send pure-Python packages to the executors, once per Spark context.
+
+    Needed where they are not installed there, because the Arrow functions in
+    tasks import them.  Spark distributes the archive itself.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_arealis_shipped", False):
+        return
+    staging = Path(tempfile.mkdtemp(prefix="arealis-code-"))
+    for name in packages:
+        shutil.copytree(
+            Path(folder) / name, staging / "code" / name, ignore=shutil.ignore_patterns("__pycache__")
+        )
+    context.addPyFile(shutil.make_archive(str(staging / "arealis-code"), "zip", staging / "code"))
+    context._arealis_shipped = True

@@ -126,11 +126,13 @@ def pick_members_with_fallback(members: DataFrame, wanted: DataFrame) -> DataFra
         F.min(F.when(F.col("member").isNotNull(), F.struct("member", "size"))).alias("only"),
         F.max("problem").alias("problem"),
         *one(ends, "ending"),
+        *one(F.col("member") == F.col("wanted"), "exact"),
         *one(slip, "slip"),
     )
     chosen = (
         F.when(F.col("n_members") == 1, F.col("only"))
         .when(F.col("n_ending") == 1, F.col("ending"))
+        .when(F.col("n_exact") > 0, F.col("exact"))
         .when(F.col("n_slip") == 1, F.col("slip"))
     )
     status = (

@@ -8,6 +8,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from arealis.functions.codes import column_to_variable
 from arealis.operators import metadata as M
 from arealis.operators.columns import quoted
 from arealis.operators.derive import derive_metrics
@@ -18,7 +19,7 @@ from arealis.plans import belgium, england_wales, northern_ireland, open_boundar
 from arealis.session import scratch_path
 from arealis.sinks.publish import write_metrics
 from arealis.sources import triples as R
-from workbench.base import OBS, POP, SEGMENTS, STATUSES, observations, population, query, sql_text, table
+from workbench.base import OBS, POP, SEGMENTS, STATUSES, observations, population, query, table
 from workbench.deriving import AGE_METRICS, HEADERS, wide_by_header
 from workbench.scanning import customer_grid
 
@@ -400,7 +401,7 @@ def _survey_variable_sql():
             f"SELECT 'Sex By Age' AS table_name, 'Total population' AS universe, '{'|'.join(steps)}' AS variable_extended_name, "
             f"CAST(coalesce(sum(count) FILTER (WHERE {where}), 0) AS BIGINT) AS value FROM p"
         )
-    parts.append("SELECT 'Race', 'Total population', 'Total|Total', CAST(count(*) AS BIGINT) FROM obs")
+    parts.append("SELECT 'Race', 'Total population', 'Total|Total', CAST(count(*) AS BIGINT) FROM obs WHERE \"GEO_ID\" IN (SELECT \"GEO_ID\" FROM p)")
     return f"WITH {POP}, p AS (SELECT * FROM pop WHERE sex IS NOT NULL), {OBS} " + " UNION ALL ".join(parts)
 
 
@@ -410,9 +411,7 @@ def job_survey_dictionary(spark, sf):
     plan.years = [2019]
     plan._periods = lambda year: ["oneYear"]
     estimates = fold_to_long(plan.census_table("2019/oneYear/county/0"), value_type="bigint")
-    named = plan.dictionary(2019, "oneYear")
-    from arealis.functions.codes import column_to_variable
-
+    named = plan.kept("dictionary", lambda: plan.dictionary(2019, "oneYear"))
     return estimates.withColumn("unique_id", column_to_variable(F.col("metric"))).filter("metric not like '%\\_M%'").join(named, "unique_id").groupBy(
         "table_name", "universe", "variable_extended_name"
     ).agg(F.sum("value").alias("value"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from arealis.functions import codes, ids, text, urls
 from arealis.operators.metadata import publish_names
-from arealis.operators.ordered import zip_to_map
 from workbench.base import query, table
 
 

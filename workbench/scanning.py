@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from arealis.operators.columns import blank_header_columns
 from arealis.operators.geometry import (
-    assemble_parts,
     assign_holes,
     build_rings,
     dissolve,
