@@ -141,12 +141,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     usable = docs.select("doc_id", "text").where((fold("doc_id") != HELD_OUT) & F.col("doc_id").isNotNull())
     confirmed = (
         usable.join(known.where("toxic = 1"), F.col("doc_id") == F.col("known_id"), "left")
-        .select("text", F.coalesce("toxic", F.lit(0)).alias("toxic"), place.alias("place"))
-        .where(
-            F.when(F.col("toxic") == 1, F.col("place") < POSITIVES / sizes[1]).otherwise(
-                F.col("place") < UNLABELLED / max(1, n_docs)
-            )
-        )
+        .select("text", (F.col("toxic") == 1).alias("confirmed"), place.alias("place"))
+        # the unlabelled rows stand for all text, so confirmed documents are among them as well
+        .withColumn("in_p", F.col("confirmed") & (F.col("place") < POSITIVES / sizes[1]))
+        .withColumn("in_u", F.col("place") < UNLABELLED / max(1, n_docs))
+        .withColumn("toxic", F.explode(F.array(F.when(F.col("in_p"), 1), F.when(F.col("in_u"), 0))))
+        .where("toxic is not null")
         .select("toxic", "text")
     )
     sample = stored(confirmed, "toxicity-sample")
@@ -154,12 +154,17 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     n_p, n_u = drawn.get(1, 0), drawn.get(0, 0)
     if not n_p or not n_u:
         return None
-    lift = (F.col("toxic") + 0.1) / n_p / ((F.col("other") + 1.0) / n_u)
+    in_p, in_u = F.col("toxic") / n_p, F.col("other") / n_u
+    in_n = F.greatest((in_u - prior * in_p) / (1 - prior), F.lit(0.0))
+    chance = in_n + 1.0 / n_u
+    lift = in_p / (in_n + 3.0 / n_u)
+    # how many standard deviations the positives lie above what chance gives
+    sure = (in_p - chance) / F.sqrt(chance / n_p)
     chosen = (
         sample.mapInArrow(_counter, "bin long, toxic long, other long")
         .groupBy("bin")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where((F.col("toxic") >= 3) & (lift > 2))
+        .where((F.col("toxic") >= 3) & (lift > 3) & (sure > 5))
         .orderBy((F.log(lift) * F.col("toxic")).desc(), "bin")
         .limit(FEATURES)
     )
