@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from arealis.llm.common import table
 from arealis.llm.exact_dedup import exact_duplicates
+from arealis.llm.licenses import KNOWN, SPELLINGS, license_scan
 from arealis.llm.mixing import mixed
 from arealis.llm.near_dedup import near_duplicates
 from arealis.llm.packing import packed
+from arealis.llm.quality import quality_scores
+from arealis.llm.suffix_dedup import repeated_bytes
 from arealis.llm.token_files import token_documents
 from arealis.llm.toxicity import toxicity_scores
+from arealis.llm.vector_search import nearest_of_step
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +118,67 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op2_vantage_point_search",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    d AS (SELECT q.vec_id AS query_id, v.vec_id,
+        sqrt(list_reduce(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])),
+                         lambda a, b: a + b)) AS score
+      FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank
+          FROM d)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+)
+def vector_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_of_step(table(spark, sf_dir, "embeddings"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    """List of canonical lines, by the same fixed values as the operator."""
+    folded = (
+        f"regexp_replace(lower(translate(coalesce({text}, ''), '©' || chr(13), 'c' || chr(10))), "
+        r"'[^\p{L}\p{N}\n]+', ' ', 'g')"
+    )
+    spelled = f"' ' || replace(replace({folded}, chr(10), ' ' || chr(10) || ' '), ' ', '  ') || ' '"
+    for old, new in SPELLINGS:
+        spelled = f"replace({spelled}, ' {old.replace(' ', '  ')} ', ' {new} ')"
+    return (
+        f"list_filter(list_transform(string_split({spelled}, chr(10)), "
+        "lambda x: replace(trim(x), '  ', ' ')), "
+        "lambda x: x <> '' AND NOT regexp_matches(x, '^(copyright|c|all rights reserved)( |$)'))"
+    )
+
+
+@query(
+    "op5_license_scan",
+    f"""WITH k AS (SELECT sha256(array_to_string({_canonical_sql("t")}, ' ')) AS digest, min(l) AS license
+      FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) AS x(l, t) GROUP BY 1),
+    d AS (SELECT doc_id, {_canonical_sql("text")} AS lines FROM documents),
+    w AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM d),
+    h AS (SELECT doc_id, array_to_string(list_sort(list(DISTINCT license)), ',') AS notices, count(*) AS n_notices
+          FROM (SELECT doc_id, sha256(unnest(lines)) AS digest FROM d) JOIN k USING (digest) GROUP BY doc_id)
+    SELECT w.doc_id, w.digest, k.license, coalesce(h.notices, '') AS notices,
+           coalesce(h.n_notices, 0) AS n_notices
+    FROM w LEFT JOIN k USING (digest) LEFT JOIN h ON h.doc_id = w.doc_id""",
+)
+def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_rules")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_suffix_dedup")
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
