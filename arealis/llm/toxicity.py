@@ -154,6 +154,20 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     n_p, n_u = drawn.get(1, 0), drawn.get(0, 0)
     if not n_p or not n_u:
         return None
+    counted = stored(
+        sample.mapInArrow(_counter, "bin long, toxic long, other long")
+        .groupBy("bin")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")),
+        "toxicity-counts",
+    )
+    # A feature is at least as frequent in all text as the toxic share of it alone makes it, so its
+    # frequency bounds that share, however the labelled rows were chosen.
+    bound = (
+        counted.where((F.col("toxic") >= 10) & (F.col("toxic") >= 0.05 * n_p))
+        .agg(F.min((F.col("other") + 2 * F.sqrt(F.col("other") + 1)) / n_u / (F.col("toxic") / n_p)))
+        .first()[0]
+    )
+    prior = max(1e-4, min(prior, bound or prior))
     in_p, in_u = F.col("toxic") / n_p, F.col("other") / n_u
     in_n = F.greatest((in_u - prior * in_p) / (1 - prior), F.lit(0.0))
     chance = in_n + 1.0 / n_u
@@ -161,10 +175,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     # how many standard deviations the positives lie above what chance gives
     sure = (in_p - chance) / F.sqrt(chance / n_p)
     chosen = (
-        sample.mapInArrow(_counter, "bin long, toxic long, other long")
-        .groupBy("bin")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where((F.col("toxic") >= 3) & (lift > 3) & (sure > 5))
+        counted.where((F.col("toxic") >= 3) & (lift > 3) & (sure > 5))
         .orderBy((F.log(lift) * F.col("toxic")).desc(), "bin")
         .limit(FEATURES)
     )

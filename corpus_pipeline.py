@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.llm.common import stored, table
@@ -13,11 +13,14 @@ from arealis.llm.packing import packed
 from arealis.llm.toxicity import toxicity_scores
 
 
-def _with_rows(docs: DataFrame, decisions: DataFrame, take) -> DataFrame:
-    """Rows of ``docs`` with a decision each; ``decisions`` has one row per distinct doc_id."""
-    named = decisions.select(F.col("doc_id").alias("decided_id"), take.alias("take")).where("take > 0")
-    joined = docs.join(named, F.col("doc_id").eqNullSafe(F.col("decided_id")))
-    return joined.drop("decided_id")
+def _key(name: str) -> Column:
+    """The id as text, null as an empty one, so that it joins by plain equality."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column next to their key: no name of theirs can clash with ours."""
+    return docs.select(F.struct("*").alias("row")).withColumn("key", _key("row.doc_id"))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,37 +29,49 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Of rows that repeat a doc_id all go if one of them is toxic.
     """
     scores = toxicity_scores(docs, table(spark, sf_dir, "labels"))
-    clean = scores.groupBy("doc_id").agg(F.max("predicted").alias("toxic"))
-    return _with_rows(docs, clean, 1 - F.col("toxic")).select(docs.columns)
+    toxic = scores.where("predicted = 1").select(_key("doc_id").alias("key")).distinct()
+    return _rows(docs).join(toxic, "key", "left_anti").select("row.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every text: the one with the largest doc_id; repeated rows once."""
-    kept = exact_duplicates(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    kept = kept.select(F.col("doc_id").alias("kept_id"), "text_sha256")
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    """One document of every text: the one with the largest doc_id; rows that repeat it go as well."""
+    kept = (
+        exact_duplicates(docs)
+        .where("kept")
+        .select(_key("doc_id").alias("key"), F.col("text_sha256").alias("digest"))
+        .distinct()
+    )
     return (
-        docs.join(
-            kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (digest == F.col("text_sha256")), "left_semi"
-        )
-        .dropDuplicates(["doc_id", "text"])
-        .select(docs.columns)
+        _rows(docs)
+        .withColumn("digest", F.sha2(F.coalesce("row.text", F.lit("")), 256))
+        .join(kept, ["key", "digest"])
+        .dropDuplicates(["key", "digest"])
+        .select("row.*")
     )
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("kept"))
-    return _with_rows(docs, kept, F.col("kept")).select(docs.columns)
+    kept = near_duplicates(docs).where("kept").select(_key("doc_id").alias("key")).distinct()
+    return _rows(docs).join(kept, "key", "left_semi").select("row.*")
 
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
-    taken = mixed(docs).groupBy("doc_id").agg(F.max("repeats").cast("int").alias("repeats"))
+    """Every document as many times as the mix takes it.
+
+    Rows that repeat a doc_id are each taken as often as the most taken of them.
+    """
+    taken = (
+        mixed(docs)
+        .groupBy(_key("doc_id").alias("key"))
+        .agg(F.max("repeats").cast("int").alias("repeats"))
+        .where("repeats > 0")
+    )
     return (
-        _with_rows(docs, taken, F.col("repeats"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("take"))))
-        .select(docs.columns)
+        _rows(docs)
+        .join(taken, "key")
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("repeats"))))
+        .select("row.*")
     )
 
 
