@@ -1,9 +1,10 @@
 """Token ids in Arrow files with fixed-size lists.
 
-Each file holds record batches of two columns, ``ids`` and ``mask``, both fixed-size lists of one
-length, so sequence i of a file is a slice of two buffers: with a memory-mapped file nothing is copied.
-The mask is 0 in the padding behind the last document, 1 for a token and 2 for the token that ends a
-document.  The schema's metadata holds the ids of the file's documents in order.
+Each file holds record batches of three columns, ``ids``, ``mask`` and ``last``, all fixed-size lists of
+one length, so sequence i of a file is a slice of their buffers: with a memory-mapped file nothing is
+copied.  Ids take two bytes where the vocabulary allows it, the other two are bits: ``mask`` is false in
+the padding behind the last document, ``last`` is true at the token that ends a document.  The schema's
+metadata holds the ids of the file's documents in order.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm.common import stored, text_bytes
-from arealis.llm.tokens import default_vocabulary, encoded
+from arealis.llm.tokens import default_vocabulary, encoded, encoder
 from arealis.session import scratch_path
 
 SEQUENCE = 2048
@@ -40,21 +41,27 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     )
 
 
-def write_file(path: str, doc_ids: list[int | None], docs: list[np.ndarray], length: int) -> None:
+def write_file(
+    path: str, doc_ids: list[int | None], docs: list[np.ndarray], length: int, kind=np.uint32
+) -> None:
     """One file from the ids of whole documents; visible under its name only when complete."""
     total = sum(map(len, docs))
     rows = -(-total // length)
-    ids, mask = np.zeros(rows * length, np.uint32), np.zeros(rows * length, np.uint8)
+    ids, mask, last = (np.zeros(rows * length, k) for k in (kind, bool, bool))
     ids[:total] = np.concatenate(docs)
-    mask[:total] = 1
-    mask[np.cumsum([len(d) for d in docs]) - 1] = 2
+    mask[:total] = True
+    last[np.cumsum([len(d) for d in docs]) - 1] = True
     names = np.array([_NULL_ID if x is None else x for x in doc_ids], "<i8").tobytes()
     schema = pa.schema(
-        [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))],
+        [
+            ("ids", pa.list_(pa.from_numpy_dtype(kind), length)),
+            ("mask", pa.list_(pa.bool_(), length)),
+            ("last", pa.list_(pa.bool_(), length)),
+        ],
         metadata={"doc_ids": names},
     )
     columns = [
-        pa.FixedSizeListArray.from_arrays(pa.array(values), length) for values in (ids, mask)
+        pa.FixedSizeListArray.from_arrays(pa.array(values), length) for values in (ids, mask, last)
     ]
     system, name = opened(path)
     system.create_dir(os.path.dirname(name), recursive=True)
@@ -65,32 +72,33 @@ def write_file(path: str, doc_ids: list[int | None], docs: list[np.ndarray], len
     system.move(draft, name)
 
 
-def read_file(path: str) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Document ids, and ids and mask of all sequences as two-dimensional views."""
+def read_file(path: str) -> tuple[list[int | None], list[np.ndarray]]:
+    """Document ids, and the token ids of every document."""
     system, name = opened(path)
     local = isinstance(system, pafs.LocalFileSystem)
     with pa.memory_map(name) if local else system.open_input_file(name) as source:
         reader = ipc.open_file(source)
         names = np.frombuffer(reader.schema.metadata[b"doc_ids"], "<i8").tolist()
         held = reader.read_all()
-        length = held.schema.field("ids").type.list_size
-        ids, mask = (
-            np.concatenate(
-                [c.flatten().to_numpy().reshape(-1, length) for c in held.column(x).chunks]
-            )
-            for x in ("ids", "mask")
+        ids, last = (
+            np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in held.column(x).chunks])
+            for x in ("ids", "last")
         )
-    return [None if x == _NULL_ID else x for x in names], ids, mask
+    ends = np.flatnonzero(last) + 1
+    return (
+        [None if x == _NULL_ID else x for x in names],
+        [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)],
+    )
 
 
-def read_sequence(path: str, index: int) -> tuple[np.ndarray, np.ndarray]:
-    """One sequence and its mask, found by position alone."""
+def read_sequence(path: str, index: int) -> tuple[pa.Array, pa.Array]:
+    """One sequence and its mask, found by position alone, as views of the file."""
     system, name = opened(path)
     local = isinstance(system, pafs.LocalFileSystem)
     source = pa.memory_map(name) if local else system.open_input_file(name)
     batch = ipc.open_file(source).get_batch(index // BATCH_ROWS)
     at = index % BATCH_ROWS
-    return tuple(batch.column(i)[at].values.to_numpy() for i in (0, 1))
+    return tuple(batch.column(i)[at].values for i in (0, 1))
 
 
 def _writer(folder: str, vocabulary: str, end_id: int, length: int, file_tokens: int):
@@ -102,11 +110,12 @@ def _writer(folder: str, vocabulary: str, end_id: int, length: int, file_tokens:
             nonlocal files, held, names, size
             if held:
                 path = f"{folder}/part-{part:06d}-{files:06d}.arrow"
-                write_file(path, names, held, length)
+                write_file(path, names, held, length, kind)
                 done.append((path, part, files, size))
             files, held, names, size = files + 1, [], [], 0
 
         end = np.array([end_id], np.uint32)
+        kind = np.uint16 if max(end_id, len(encoder(vocabulary).widths) - 1) < 1 << 16 else np.uint32
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for name, ids in zip(batch.column(0).to_pylist(), encoded(vocabulary, texts), strict=True):
@@ -160,20 +169,14 @@ def write_token_files(
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, start in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-            names, ids, mask = read_file(path)
-            ids, mask = ids.reshape(-1), mask.reshape(-1)
-            ends = np.flatnonzero(mask == 2) + 1
-            begins = np.append(0, ends[:-1])
-            data = memoryview(ids).cast("B")
-            sums = [
-                zlib.crc32(data[4 * a : 4 * b])
-                for a, b in zip(begins.tolist(), ends.tolist(), strict=True)
-            ]
+            names, docs = read_file(path)
+            sizes = np.array([len(x) for x in docs], np.int64)
+            sums = [zlib.crc32(x.astype("<u4").tobytes()) for x in docs]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(names, pa.int64()),
-                    pa.array(begins + start, pa.int64()),
-                    pa.array(ends - begins, pa.int64()),
+                    pa.array(np.cumsum(sizes) - sizes + start, pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(sums, pa.int64()),
                 ],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
