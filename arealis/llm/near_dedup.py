@@ -3,8 +3,8 @@
 Two permutations of 32-bit words make every signature coordinate: the first scatters the shingles,
 the second, shifted circularly by k, gives coordinate k.  Sets that share a band are candidates.
 
-Inside a band nobody compares all with all.  Every set is compared with one pivot (its most frequent
-set), which gives the difference D(u) to the pivot.  Two sets u and v that are similar enough without
+Inside a band nobody compares all with all.  Every set is compared with one pivot (the set
+that meets most others), which gives the difference D(u) to the pivot.  Two sets u and v that are similar enough without
 both being linked to the pivot must share elements of D(u) and D(v): with
 ``d = |D(u)| + |D(v)| - 2 |D(u) & D(v)|`` the number of elements in which u and v differ, similarity
 asks for ``d <= (1 - j) / (1 + j) * (|u| + |v|)``, and if D(u) and D(v) are disjoint then each of them
@@ -142,19 +142,22 @@ def _set_reader(width: int):
 
 
 def stars(sets: DataFrame) -> DataFrame:
-    """Distinct (pivot, member) over all bands; the pivot is the band's most frequent set."""
-    banded = sets.select("set_key", "copies", F.explode("bands").alias("band"))
+    """Distinct (pivot, member) over all bands.
+
+    The pivot of a band is its set that meets most others over all of its own bands: in a family of
+    edited copies that is the text they were made from, which keeps the differences to it small.
+    """
+    banded = sets.select("set_key", F.explode("bands").alias("band"))
+    sizes = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(banded.join(sizes, "band"), "near-bands")
+    met = shared.groupBy("set_key").agg(F.sum("n").alias("met"))
     pivots = (
-        banded.groupBy("band")
-        .agg(
-            F.count("*").alias("n"),
-            F.max(F.struct("copies", "set_key")).getField("set_key").alias("pivot"),
-        )
-        .where("n > 1")
-        .select("band", "pivot")
+        shared.join(met, "set_key")
+        .groupBy("band")
+        .agg(F.max(F.struct("met", "set_key")).getField("set_key").alias("pivot"))
     )
     return (
-        banded.join(pivots, "band")
+        shared.join(pivots, "band")
         .where("set_key <> pivot")
         .select("pivot", F.col("set_key").alias("member"))
         .distinct()
@@ -278,7 +281,6 @@ def near_duplicates(
         .groupBy("set_key")
         .agg(
             F.min("doc_id").alias("first_id"),
-            F.count("*").alias("copies"),
             F.first("bands").alias("bands"),
         )
     )
