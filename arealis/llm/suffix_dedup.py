@@ -10,8 +10,8 @@ A string of ``size`` bytes that starts in two places is found in three steps.
    difference cover modulo 7 are ranked first, by doubling.  The others are ordered by their first
    bytes; for those that tie, the cover gives a shift at which both are ranked, for each pair of phases,
    so that no tie is followed byte by byte and memory stays at a few words for each suffix.
-   Anchors with very many different stretches are not put in a bucket: their strings are counted by
-   digests over all tasks.
+   Anchors with very many different stretches are not put in a bucket: of those that also share more
+   bytes around the anchor, the strings are counted by digests over all tasks.
 3. The bytes under the repeated strings go.
 """
 
@@ -259,6 +259,48 @@ def _remover(texts_too: bool):
     return remove
 
 
+def _sides(size: int, gram: int):
+    """Halves of crowded stretches: strings that reach far back from the anchor, and the others.
+
+    All strings of a half hold the same bytes around the anchor, whose hash is the half's key, so equal
+    strings are in halves of one key.
+    """
+    reach = (size - gram) // 2
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, begins, pieces, keys = [], [], [], []
+            for i, (anchor, start, text) in enumerate(
+                zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            ):
+                data = np.frombuffer(text, np.uint8)
+                n = len(text) - size + 1
+                prefix = prefix_hashes(data)
+                at = np.arange(len(text) - gram + 1)
+                p = int(np.argmax(substring_hashes(prefix, at, at + gram).view(np.int64) == anchor))
+                cut = min(n, max(0, p - reach + 1))
+                for first, last, a, b in ((0, cut, p - reach, p + gram), (cut, n, p, p + size - reach + 1)):
+                    if first < last:
+                        around = substring_hashes(prefix, np.array([a]), np.array([b]))
+                        rows.append(i)
+                        begins.append(start + first)
+                        pieces.append(text[first : last + size - 1])
+                        keys.append(mix64(around + np.uint64(anchor % 2**64)).view(np.int64)[0])
+            taken = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(taken),
+                    batch.column(1).take(taken),
+                    pa.array(keys, pa.int64()),
+                    pa.array(begins, pa.int64()),
+                    pa.array(pieces, pa.binary()),
+                ],
+                names=["doc_id", "mark", "side", "start", "stretch"],
+            )
+
+    return part
+
+
 def _digests(size: int):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,9 +407,18 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
         .groupBy("bucket")
         .applyInPandas(_sorter(size), spans)
     )
-    windows = (
+    sides = stored(
         parts.where("crowded")
+        .select("doc_id", "mark", "anchor", "start", "stretch")
+        .mapInArrow(
+            _sides(size, gram), f"doc_id {kind}, mark long, side long, start long, stretch binary"
+        ),
+        "suffix-sides",
+    )
+    windows = (
+        sides.join(sides.groupBy("side").count().where("count > 1"), "side", "left_semi")
         .select("doc_id", "mark", "start", "stretch")
+        .repartition("doc_id", "start")  # evenly, however many share a side
         .mapInArrow(_digests(size), f"doc_id {kind}, mark long, begin long, low long, high long")
     )
     counted = (
