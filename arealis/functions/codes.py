@@ -17,12 +17,14 @@ UNUSED_STATE_CODES = [3, 7, 14, 43, 52]
 
 
 def count_from_text(text: Column, strict: bool = True) -> Column:
-    """``1,234`` -> 1234, ``-`` -> 0, null -> 0.
+    """``1,234`` -> 1234, a lone ``-`` -> 0, null -> 0.
 
     Other text is an error when ``strict``, else null so that the caller can
     set the row aside.
     """
-    digits = F.replace(F.replace(text, F.lit(","), F.lit("")), F.lit("-"), F.lit("0"))
+    plain = F.trim(text)
+    grouped = plain.rlike(r"^([0-9]+|[0-9]{1,3}(,[0-9]{3})+)$")
+    digits = F.when(plain == "-", F.lit("0")).when(grouped, F.replace(plain, F.lit(","), F.lit("")))
     parsed = digits.try_cast("bigint")
     bad = text.isNotNull() & parsed.isNull()
     otherwise = (

@@ -11,12 +11,13 @@ BASE = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
 
 
 def title_case(text: Column) -> Column:
-    """Upper-case each first letter of a letter run, lower-case the rest.
+    """Upper-case each first letter of a run of cased letters, lower-case the rest.
 
-    ``initcap`` alone only starts words at blanks; here any non-letter does.
+    ``initcap`` only starts words at blanks; here anything but a letter with case does.  Such starts
+    inside a word get a mark and a blank in front, which are taken away afterwards.
     """
-    runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    inside = F.regexp_replace(text, r"(?<=[^\p{Lu}\p{Ll}\p{Lt}\s])(?=[\p{Lu}\p{Ll}\p{Lt}])", "\ue000 ")
+    return F.replace(F.initcap(inside), F.lit("\ue000 "), F.lit(""))
 
 
 def keep_alphanumeric(text: Column) -> Column:

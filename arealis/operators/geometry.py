@@ -339,7 +339,12 @@ def assign_holes(rings: DataFrame, group: list[str]) -> DataFrame:
         .groupBy(*group, "ring")
         .agg(F.min_by("outer", "outer_area").alias("part"))
     )
-    placed = holes.join(around, [*group, "ring"])
+    alone = F.raise_error(
+        F.concat(F.lit("a hole without a ring around it in "), F.to_json(F.struct(*group)))
+    ).cast(around.schema["part"].dataType)
+    placed = holes.join(around, [*group, "ring"], "left").withColumn(
+        "part", F.when(F.col("part").isNull(), alone).otherwise(F.col("part"))
+    )
     return outer.withColumn("part", F.col("ring")).unionByName(placed).drop("ring")
 
 
@@ -441,8 +446,10 @@ def geojson_feature(parts: Column, properties: dict[str, Column]) -> Column:
     )
 
 
-def _wkb(parts) -> bytes:
-    """Little-endian WKB multi-polygon."""
+def _wkb(parts) -> bytes | None:
+    """Little-endian WKB multi-polygon; no geometry, no bytes."""
+    if parts is None:
+        return None
     out = [struct.pack("<BII", 1, 6, len(parts))]
     for rings in parts:
         out.append(struct.pack("<BII", 1, 3, len(rings)))

@@ -9,39 +9,15 @@ from pyspark.sql import functions as F
 
 from arealis.operators.columns import quoted
 
-#: A lookup side within both bounds is sent to every executor.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def bounded_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+def lookup_join(
+    left: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "inner"
 ) -> DataFrame:
-    """Mark ``df`` for broadcast if it is proven to stay within both bounds.
+    """Enrich ``left`` from a lookup.
 
-    The proof counts rows, and their size as text, and stops after
-    ``max_rows + 1`` rows.  A larger side is returned unmarked: the join then
-    shuffles, adaptive execution splits its hot keys, and the result is the
-    same.
+    Whether the lookup is broadcast is left to Spark's threshold and adaptive execution, which also
+    splits hot keys where it is not.
     """
-    size = F.octet_length(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes")
-    ).first()
-    if seen["n"] <= max_rows and seen["n_bytes"] <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    on: list[str] | str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Enrich ``left`` from a lookup that is normally small."""
-    return left.join(bounded_broadcast(lookup, max_rows), on, how)
+    return left.join(lookup, on, how)
 
 
 def join_on_names(
@@ -70,21 +46,30 @@ def join_all(frames: list[DataFrame], on: list[str]) -> DataFrame:
 def outer_join_all(frames: list[DataFrame], on: list[str]) -> DataFrame:
     """N-way full outer join on one key, null keys matching each other.
 
-    A chain of full outer joins would shuffle its growing left side again for
-    every table.  Here all keys are gathered first and each table is
-    left-joined to them: the keys keep their partitioning, so every table is
-    shuffled once, plus its key columns.
+    The key must be unique in every table, which is checked in the same pass: all tables go below each
+    other and one aggregation brings the rows of a key together, so every table is read and shuffled
+    once.
     """
-    keys = reduce(
-        lambda a, b: a.unionByName(b), [f.select(*on) for f in frames]
-    ).distinct()
-    for i, frame in enumerate(frames):
-        named = frame.withColumnsRenamed({c: f"_{i}_{c}" for c in on})
-        same = reduce(
-            lambda a, b: a & b, [keys[c].eqNullSafe(named[f"_{i}_{c}"]) for c in on]
+    values = [[c for c in f.columns if c not in on] for f in frames]
+    packed = [
+        f.select(
+            *on,
+            *[
+                F.struct(*[F.col(quoted(c)) for c in values[i]], F.lit(True).alias("_there")).alias(f"_{i}")
+            ],
         )
-        keys = keys.join(named, same, "left").drop(*[f"_{i}_{c}" for c in on])
-    return keys
+        for i, f in enumerate(frames)
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    wide = rows.groupBy(*on).agg(
+        *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(frames))],
+        F.greatest(F.lit(0), *[F.count(f"_{i}") for i in range(len(frames))]).alias("_most"),
+    )
+    repeated = F.concat(F.lit("a key is repeated in one table: "), F.to_json(F.struct(*on)))
+    sure = F.when(F.col("_most") <= 1, F.lit(True)).otherwise(F.raise_error(repeated).cast("boolean"))
+    return wide.filter(sure).select(
+        *on, *[F.col(f"_{i}.{quoted(c)}").alias(c) for i, names in enumerate(values) for c in names]
+    )
 
 
 def concat_columns(frames: list[DataFrame], on: list[str]) -> DataFrame:
@@ -135,7 +120,7 @@ def lookup_or_fail(
     left: DataFrame, lookup: DataFrame, on: list[str], value: str
 ) -> DataFrame:
     """Lookup that fails the job when a key has no entry."""
-    joined = left.join(bounded_broadcast(lookup), on, "left")
+    joined = left.join(lookup, on, "left")
     shown = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
     data_type = lookup.schema[value].dataType
     return joined.withColumn(
@@ -150,7 +135,7 @@ def lookup_or_default(
     left: DataFrame, lookup: DataFrame, on: list[str], value: str, default: str = "TBD"
 ) -> DataFrame:
     """Lookup with a default for missing keys."""
-    joined = left.join(bounded_broadcast(lookup), on, "left")
+    joined = left.join(lookup, on, "left")
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 

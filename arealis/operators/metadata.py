@@ -19,7 +19,7 @@ from arealis.functions.text import (
     survey_human_name,
 )
 from arealis.operators.columns import quoted
-from arealis.operators.joins import bounded_broadcast, lookup_or_default
+from arealis.operators.joins import lookup_or_default
 from arealis.schemas import METRIC_FIELDS, TABLES, field_schema, published_names, published_schema
 from arealis.specs import CountryRecord, DerivedMetric, GeometryLevel, PublisherRecord, ReleaseTemplate
 
@@ -152,7 +152,7 @@ def source_metric_rows(
     catalogue: DataFrame, releases: DataFrame, on: list[str], overrides: dict[str, Column]
 ) -> DataFrame:
     """Template metric per catalogue row: names and urls from the catalogue, release by key."""
-    joined = catalogue.join(bounded_broadcast(releases.select(*on, "source_data_release_id")), on)
+    joined = catalogue.join(releases.select(*on, "source_data_release_id"), on)
     fields = {
         "parent_metric_id": F.lit("unknown_at_this_stage"),
         "metric_parquet_path": F.lit("unknown_at_this_stage"),
@@ -230,13 +230,20 @@ def survey_metric_rows(
 
     ``columns`` has ``parquet_column_name``; ``table_urls`` gives the download
     url per table id, ``TBD`` when a table is not listed.  The margin column is
-    the ``M`` twin of the estimate, in the same file.
+    the ``M`` twin of the estimate, in the same file.  A column whose variable
+    the dictionary lacks is an error.
     """
     variable = column_to_variable(F.col("parquet_column_name"))
     facts = ["table_id", "unique_id", "universe", "table_name", "variable_name", "variable_extended_name"]
     joined = columns.withColumns(
         {"unique_id": variable, "url_table": F.substring_index("parquet_column_name", "_", 1)}
-    ).join(bounded_broadcast(dictionary.select(*facts)), "unique_id")
+    ).join(dictionary.select(*facts, F.lit(True).alias("_known")), "unique_id", "left")
+    joined = joined.withColumn(
+        "unique_id",
+        F.when(F.col("_known"), F.col("unique_id")).otherwise(
+            F.raise_error(F.concat(F.lit("not in the dictionary: "), F.col("parquet_column_name"))).cast("string")
+        ),
+    ).drop("_known")
     located = lookup_or_default(joined, table_urls, ["url_table"], "source_download_url")
     return located.select(
         "parquet_column_name",
@@ -274,7 +281,7 @@ def complete_metric_rows(rows: DataFrame, source: DataFrame, on: list[str] | Non
         )
     else:
         extra = [f for f in fields if f in source.columns and f not in rows.columns]
-        filled = rows.join(bounded_broadcast(source.select(*on, *extra)), on)
+        filled = rows.join(source.select(*on, *extra), on)
     return publish_names("metric", filled)
 
 

@@ -7,6 +7,8 @@ chunk is looked at in sequence.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,6 +57,13 @@ def dense_row_number(
     )
 
 
+def same_group(group: list[str], suffix: str = "_other") -> Column:
+    """Equality of group columns with their suffixed twins, null matching null."""
+    return reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"{g}{suffix}")) for g in group], F.lit(True)
+    )
+
+
 def carry_forward(
     df: DataFrame,
     group: list[str],
@@ -84,11 +93,11 @@ def carry_forward(
     )
     earlier = W.partitionBy(*group).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = ends.select(
-        *group,
-        "_chunk",
+        *[F.col(g).alias(f"{g}_other") for g in group],
+        F.col("_chunk").alias("_chunk_other"),
         *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_pre_{n}") for n in values],
     )
-    joined = inside.join(carried, [*group, "_chunk"])
+    joined = inside.join(carried, same_group([*group, "_chunk"]))
     kept = [c for c in df.columns if c not in values]
     return joined.select(
         *kept, *[F.coalesce(f"_in_{n}", f"_pre_{n}").alias(n) for n in values]
@@ -113,10 +122,12 @@ def stub_paths(
         F.contains(F.col(stub), F.lit(":")), F.replace(F.col(stub), F.lit(":"), F.lit(""))
     )
     rows = df.withColumns({"_order": order, "_heading": heading})
+    twins = [F.col(g).alias(f"{g}_other") for g in group]
+    dropped = [f"{g}_other" for g in group]
     first_leaf = rows.groupBy(*group).agg(
         F.min(F.when(F.col("_heading").isNull(), F.col("_order"))).alias("_leaf")
     )
-    rows = rows.join(first_leaf, group)
+    rows = rows.join(first_leaf.select(*twins, "_leaf"), same_group(group)).drop(*dropped)
     opening = F.col("_leaf").isNull() | (F.col("_order") < F.col("_leaf"))
     prefix = W.partitionBy(*group).orderBy("_order").rowsBetween(W.unboundedPreceding, 0)
     # Only the few headings above the first plain stub take part here.
@@ -129,7 +140,7 @@ def stub_paths(
         rows.filter(opening)
         .groupBy(*group)
         .agg(F.array_sort(F.collect_list(F.struct("_order", "_heading"))).alias("_pairs"))
-        .select(*group, F.transform("_pairs", lambda p: p["_heading"]).alias("_base"))
+        .select(*twins, F.transform("_pairs", lambda p: p["_heading"]).alias("_base"))
     )
     later = carry_forward(
         rows.filter(~opening).drop("_leaf"),
@@ -137,7 +148,7 @@ def stub_paths(
         chunk,
         [F.col("_order")],
         {"_latest": F.col("_heading")},
-    ).join(base, group, "left")
+    ).join(base, same_group(group), "left").drop(*dropped)
     base_or_empty = F.coalesce("_base", F.array().cast("array<string>"))
     kept = F.slice(base_or_empty, 1, F.greatest(F.size(base_or_empty) - 1, F.lit(0)))
     later = later.withColumn(
@@ -196,9 +207,13 @@ def preview(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
 def drop_last_rows(df: DataFrame, group: list[str], order: str, n: int) -> DataFrame:
     """All but the last ``n`` rows per group (file footers); ``order`` must be unique.
 
+    Rows without a group are a group of their own, and ``n = 0`` drops nothing.
+
     Spark limits a rank filter before the shuffle, so each task sends at most
     ``n`` rows per group; the rest of the table is compared with the cut only.
     """
+    if n <= 0:
+        return df
     tail = W.partitionBy(*group).orderBy(F.col(order).desc())
     cut = (
         df.select(*group, order)
@@ -206,8 +221,9 @@ def drop_last_rows(df: DataFrame, group: list[str], order: str, n: int) -> DataF
         .filter(F.col("_rank") <= n)
         .groupBy(*group)
         .agg(F.min(order).alias("_cut"))
+        .select(*[F.col(g).alias(f"{g}_other") for g in group], "_cut")
     )
-    return df.join(cut, group).filter(F.col(order) < F.col("_cut")).select(*df.columns)
+    return df.join(cut, same_group(group)).filter(F.col(order) < F.col("_cut")).select(*df.columns)
 
 
 def zip_to_map(names: Column, joined_values: Column, separator: str) -> Column:

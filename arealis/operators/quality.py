@@ -18,14 +18,13 @@ class AssumptionsOutdated(ValueError):
 def require_metric_columns(metrics: DataFrame, metadata: DataFrame) -> None:
     """The metric columns are exactly those the metadata describes.
 
-    Only names missing from the schema travel back, so the answer is bounded by
-    what is reported.
+    Names of metadata come back whole: they are as many as the columns of a table.
     """
     if GEO_ID not in metrics.columns:
         raise ValueError(f"metrics need a {GEO_ID} column, found {metrics.columns}")
     have = [c for c in metrics.columns if c != GEO_ID]
     described = metadata.select("metric_parquet_column_name").distinct()
-    rows = described.limit(len(have) + 1000).collect()
+    rows = described.collect()
     names = {r[0] for r in rows}
     if names != set(have):
         raise ValueError(
@@ -75,10 +74,10 @@ def path_problems(metadata: DataFrame, output: str) -> DataFrame:
 
 
 def require_no_rows(problems: DataFrame, message: str, error: type[Exception] = ValueError) -> None:
-    """Raise with a few examples if there is any row."""
+    """Raise with the number of rows and a few examples if there is any row."""
     rows = problems.limit(5).collect()
     if rows:
-        raise error(f"{message}: {[r.asDict() for r in rows]}")
+        raise error(f"{message}: {problems.count()} rows, such as {[r.asDict() for r in rows]}")
 
 
 def assumption(condition: Column, value: Column, message: str, data_type: str) -> Column:

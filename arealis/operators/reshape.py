@@ -113,6 +113,7 @@ def pivot_codes_and_labels(df: DataFrame, geo: str, value: str) -> DataFrame:
     Both key names of a row go into one array, so the table is read and
     aggregated once instead of twice plus a join.
     """
+    df = df.filter(F.col(quoted(geo)).isNotNull())  # rows without an area make no columns either
     codes = [c for c in df.columns if c.endswith("Code") and c != geo]
     labels = [c for c in df.columns if c.endswith("Label")]
     code_names, label_names = pivot_names(df, codes, "_"), pivot_names(df, labels, "_")
@@ -125,8 +126,7 @@ def pivot_codes_and_labels(df: DataFrame, geo: str, value: str) -> DataFrame:
     if clash:
         raise ValueError(f"code and label columns share the names {sorted(clash)}")
     long = (
-        df.filter(F.col(quoted(geo)).isNotNull())
-        .select(F.col(quoted(geo)).alias(GEO_ID), F.explode(both).alias("_name"),
+        df.select(F.col(quoted(geo)).alias(GEO_ID), F.explode(both).alias("_name"),
                 F.col(quoted(value)).alias("_value"))
         .filter(F.col("_name").isNotNull())
     )

@@ -41,7 +41,8 @@ def differences(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 def require_equal_sets(expected: DataFrame, found: DataFrame, key: str) -> None:
     """Raise with the missing and extra names if the two key sets differ."""
-    rows = differences(expected, found, key).orderBy("difference", key).limit(100).collect()
+    # as many rows as there are names that differ, which is at most the two schemas
+    rows = differences(expected, found, key).orderBy("difference", key).collect()
     if rows:
         lines = [f"- {r['difference']}: {r[key]}" for r in rows]
         raise ValueError("\n".join(["names differ from what is expected", *lines]))

@@ -55,8 +55,9 @@ _TEXT_COLUMNS = {"date", "geography", "geography code"}
 def bulk_downloads(bulk_pages: DataFrame) -> DataFrame:
     """Rows of the one table on the bulk page, links made absolute."""
     rows = pages.table_rows(bulk_pages)
-    tables = rows.select("url", "table_no").distinct().groupBy("url").count().filter("count <> 1")
-    if not tables.isEmpty():
+    found = rows.groupBy("url").agg(F.countDistinct("table_no").alias("tables"))
+    counted = bulk_pages.select("url").distinct().join(found, "url", "left")
+    if not counted.filter(F.coalesce("tables", F.lit(0)) != 1).isEmpty():
         raise AssumptionsOutdated("the bulk page no longer holds exactly one table")
     cells = pages.named_cells(
         rows, ["table_id", "description", "original_release", "extra_post_release"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import itertools
 import logging
 from datetime import date
 
@@ -285,7 +286,7 @@ class Scotland(CountryPlan):
         if header is None:
             return None
         # Blank headers become positional: the area first, then the keys.
-        position = iter(range(100))
+        position = itertools.count()
 
         def named(cell: str) -> str:
             if cell.strip():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -52,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="arealis-"))
     return context.getCheckpointDir()

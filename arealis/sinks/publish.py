@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.operators.columns import quoted
@@ -88,7 +88,8 @@ def write_long_metrics(df: DataFrame, base: str, name: str = "metrics_long") ->
 
     Rows are rebalanced by partition: adaptive execution splits a large one into
     files of the advisory size and puts small ones together.  Only the folders
-    present in ``df`` are replaced.
+    present in ``df`` are replaced.  Keys in folder names are text: read them
+    with :func:`read_long_metrics`, which keeps them so.
     """
     path = _join(base, name)
     (
@@ -101,6 +102,17 @@ def write_long_metrics(df: DataFrame, base: str, name: str = "metrics_long") ->
     return path
 
 
+def read_long_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Long metrics with both keys as the text they were written with, ``01001`` too.
+
+    The types of the other columns come from the files.
+    """
+    inside = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    keys = "country_id string, partition_key string"
+    names = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in inside)
+    return spark.read.schema(f"{names}, {keys}").parquet(path)
+
+
 def write_partition(metrics: DataFrame, metadata: DataFrame, base: str) -> str | None:
     """One partition's metric table; a table without columns is skipped."""
     if not metrics.columns:

@@ -127,7 +127,7 @@ def codes_and_labels(spark, sf):
     coded = observations(spark, sf).select(
         "GEO_ID",
         F.substring("priority", 1, 1).cast("int").alias("Priority Code"),
-        F.substring("priority", 3, 100).alias("Priority Label"),
+        F.expr("substring(priority, 3)").alias("Priority Label"),
         F.col("cents").alias("Count"),
     )
     return pivot_codes_and_labels(coded, "GEO_ID", "Count")

@@ -117,15 +117,15 @@ def publish_wkb(spark, sf):
 
 @query(
     "publish_partitions",
-    f"""WITH {OBS} SELECT 'be' AS country_id, CAST(year AS VARCHAR) AS partition_key, "GEO_ID", status AS metric, CAST(sum(cents) AS BIGINT) AS value
+    f"""WITH {OBS} SELECT 'be' AS country_id, lpad(CAST(year AS VARCHAR), 6, '0') AS partition_key, "GEO_ID", status AS metric, CAST(sum(cents) AS BIGINT) AS value
     FROM obs GROUP BY 2, 3, 4""",
 )
 def publish_partitions(spark, sf):
     long = observations(spark, sf).groupBy(
-        F.lit("be").alias("country_id"), F.concat(F.lit("y"), F.col("year").cast("string")).alias("partition_key"), "GEO_ID", F.col("status").alias("metric")
+        F.lit("be").alias("country_id"), F.lpad(F.col("year").cast("string"), 6, "0").alias("partition_key"), "GEO_ID", F.col("status").alias("metric")
     ).agg(F.sum("cents").alias("value"))
     path = K.write_long_metrics(long, scratch_path(spark, "published"))
-    return spark.read.parquet(path).withColumn("partition_key", F.substring("partition_key", 2, 10))
+    return K.read_long_metrics(spark, path)
 
 
 @query(
