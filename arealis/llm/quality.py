@@ -157,24 +157,44 @@ def applied(rules: list[Rule], columns: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
+def patterns(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of a binary matrix, the mean label of each, and how many rows it stands for."""
+    bits = np.packbits(x.astype(bool), axis=1)
+    _, first, back, mass = np.unique(bits, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    return x[first], np.bincount(back.ravel(), y, len(mass)) / mass, mass
+
+
 def lasso_logistic(
-    x: np.ndarray, y: np.ndarray, penalty: float, start: np.ndarray | None = None, rounds: int = 300
+    x: np.ndarray,
+    y: np.ndarray,
+    mass: np.ndarray,
+    penalty: float,
+    start: np.ndarray | None = None,
+    rounds: int = 300,
+    settled: float = 1e-4,
 ) -> np.ndarray:
-    """Weights, the bias last and free of penalty, by accelerated proximal gradient."""
+    """Weights, the bias last and free of penalty, by accelerated proximal gradient.
+
+    ``mass`` is the number of sample rows behind a row. Ends when no weight moves by ``settled``.
+    """
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1]) if start is None else start.copy()
+    share = mass / mass.sum()
     vector = np.ones(x.shape[1])
     for _ in range(20):
-        vector = x.T @ (x @ vector)
+        vector = x.T @ (share * (x @ vector))
         norm = np.linalg.norm(vector)
         vector /= norm
-    rate, z, t = 4 * len(x) / norm, w.copy(), 1.0
+    rate, z, t = 4 / norm, w.copy(), 1.0
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ z, -30, 30)))
-        new = z - rate * (x.T @ (p - y)) / len(x)
+        new = z - rate * (x.T @ (share * (p - y)))
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * penalty, 0)
         t, old = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        moved = np.abs(new - w).max()
         z, w = new + (old - 1) / t * (new - w), new
+        if moved < settled:
+            break
     return w
 
 
@@ -201,9 +221,14 @@ def fit_rules(columns: dict[str, np.ndarray], y: np.ndarray, check: np.ndarray)
         return RuleModel(base, ())
     found = list(rules)
     x = applied(found, columns)
+    # of rules that hold for the same rows the first, a shortest one, stands for all
+    _, first = np.unique(np.packbits(x.astype(bool), axis=0), axis=1, return_index=True)
+    first.sort()
+    found, x = [found[k] for k in first], x[:, first]
+    held = patterns(x[fit], y[fit])
     best, start = (np.inf, None), None
     for penalty in PENALTIES:
-        start = lasso_logistic(x[fit], y[fit], penalty, start)
+        start = lasso_logistic(*held, penalty, start)
         q = x[check] @ start[:-1] + start[-1] if check.any() else x @ start[:-1] + start[-1]
         loss = np.logaddexp(0, np.where(y[check] if check.any() else y, -q, q)).mean()
         if loss < best[0] - 1e-4:
