@@ -17,6 +17,7 @@ from arealis.llm.suffix_dedup import repeated_bytes
 from arealis.llm.token_files import token_documents
 from arealis.llm.toxicity import toxicity_scores
 from arealis.llm.vector_search import nearest_of_step
+from arealis.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +183,8 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_suffix_dedup")
 def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
