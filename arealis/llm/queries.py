@@ -12,6 +12,7 @@ from arealis.llm.licenses import KNOWN, SPELLINGS, license_scan
 from arealis.llm.mixing import mixed
 from arealis.llm.near_dedup import near_duplicates
 from arealis.llm.packing import packed
+from arealis.llm.prefix_trie import conversation_trie
 from arealis.llm.quality import quality_scores
 from arealis.llm.suffix_dedup import repeated_bytes
 from arealis.llm.token_files import token_documents
@@ -188,3 +189,38 @@ def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op11_conversation_trie",
+    r"""WITH t AS (
+      SELECT conv_id, turn, coalesce(text, '') AS text,
+             substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS id
+      FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (
+      SELECT conv_id, list({'id': id, 'n': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))}
+                           ORDER BY turn NULLS FIRST, id) AS ts,
+             -- CRC-32 bit by bit: -1 stands for one shift
+             xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+                   string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+                   ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295) % 4 AS h
+      FROM t GROUP BY conv_id),
+    r AS (SELECT c.conv_id, list_concat(coalesce(b.ts[1 : c.h], []), c.ts[c.h + 1 :]) AS ts
+          FROM o c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    m AS (SELECT conv_id, d, len(ts) AS size, array_to_string(list_transform(ts[1 : d], lambda x: x.id), '') AS p,
+                 CASE WHEN d > 0 THEN ts[d].n ELSE 0 END AS n
+          FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+    g AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+          FROM m GROUP BY p, d),
+    k AS (SELECT substr(p, 1, 32 * (d - 1)) AS p, count(*) AS n FROM g WHERE d > 0 GROUP BY 1),
+    f AS (SELECT g.*, coalesce(k.n, 0) AS n_children FROM g LEFT JOIN k USING (p)),
+    s AS (SELECT substr(p, 1, 32 * up) AS p, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM f) GROUP BY 1)
+    SELECT f.conv_id, f.d AS depth, above.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+           CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+    FROM f JOIN s USING (p) LEFT JOIN f above ON f.d > 0 AND above.p = substr(f.p, 1, 32 * (f.d - 1))""",
+)
+def conversation_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
