@@ -14,6 +14,7 @@ from arealis.llm.near_dedup import near_duplicates
 from arealis.llm.packing import packed
 from arealis.llm.prefix_trie import conversation_trie
 from arealis.llm.quality import quality_scores
+from arealis.llm.secret_scan import secret_digests
 from arealis.llm.suffix_dedup import repeated_bytes
 from arealis.llm.token_files import token_documents
 from arealis.llm.toxicity import toxicity_scores
@@ -224,3 +225,8 @@ def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conversation_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_secret_scan")
+def secret_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
