@@ -317,14 +317,14 @@ def secret_digests(docs: DataFrame) -> DataFrame:
             ",",
         )
 
+    def number(kind):
+        return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     found = F.col("spans")
     base = F.filter(found, lambda s: s["kind"] != RANDOM)
     return found_secrets(docs).select(
         "doc_id",
-        *(
-            F.size(F.filter(found, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-            for kind in KINDS
-        ),
+        *map(number, KINDS),
         F.sha2(written(base), 256).alias("base_sha256"),
         written(found).alias("spans"),
     )
