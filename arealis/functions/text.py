@@ -16,7 +16,7 @@ def title_case(text: Column) -> Column:
     ``initcap`` only starts words at blanks; here anything but a letter with case does.  Such starts
     inside a word get a mark and a blank in front, which are taken away afterwards.
     """
-    inside = F.regexp_replace(text, r"(?<=[^\p{Lu}\p{Ll}\p{Lt}\s])(?=[\p{Lu}\p{Ll}\p{Lt}])", "\ue000 ")
+    inside = F.regexp_replace(text, r"(?<=[^\p{Lu}\p{Ll}\p{Lt} ])(?=[\p{Lu}\p{Ll}\p{Lt}])", "\ue000 ")
     return F.replace(F.initcap(inside), F.lit("\ue000 "), F.lit(""))
 
 

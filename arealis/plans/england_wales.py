@@ -16,7 +16,7 @@ from arealis.operators.quality import AssumptionsOutdated
 from arealis.operators.sets import stack
 from arealis.plans.template import CountryPlan, MetricsOutput
 from arealis.schemas import GEO_ID
-from arealis.sources import archives, boundaries, pages
+from arealis.sources import archives, boundaries, pages, zips
 from arealis.specs import CountryRecord, GeometryLevel, HeaderMetric, PublisherRecord, ReleaseTemplate
 
 ROOT_URL = "https://www.nomisweb.co.uk/"
@@ -141,13 +141,11 @@ class EnglandAndWales(CountryPlan):
             features, [level.geo_id_column, *level.name_columns.values()]
         )
 
-    def named_archives(self) -> DataFrame:
-        """Archives under the file name their url ends with."""
-        return self.archives().withColumn("archive", F.regexp_extract("archive", r"([^/]*)$", 1))
-
     def picked_members(self) -> DataFrame:
-        """Archive member and status per catalogue row."""
-        listed = archives.list_members(self.named_archives())
+        """Archive member and status per catalogue row; archives go by the file name their url ends with."""
+        listed = self.archive_members(content=False).withColumn(
+            "archive", F.regexp_extract("archive", r"([^/]*)$", 1)
+        )
         wanted = self.catalogue().select(
             "partition_key",
             F.regexp_extract("source_download_url", r"([^/]*)$", 1).alias("archive"),
@@ -156,23 +154,23 @@ class EnglandAndWales(CountryPlan):
         picked = archives.pick_members_with_fallback(listed, wanted.select("archive", "wanted").distinct())
         return wanted.join(picked, ["archive", "wanted"])
 
-    def lines(self) -> DataFrame:
-        """Lines of all archive members, each archive unpacked once."""
-        return self.kept(
-            "lines",
-            lambda: archives.member_lines(archives.expand_archives(self.named_archives())),
-        )
+    def records(self, archive: str, member: str) -> DataFrame:
+        """CSV records of one member; nothing else is unpacked."""
+        return zips.csv_records(self.archive_members(archive=archive, member=member))
 
     def census_table(self, partition_key: str) -> DataFrame | None:
         """``None`` when this table does not exist at this level, which is no failure."""
         row = self.kept("members", self.picked_members).filter(F.col("partition_key") == partition_key).first()
         if row is None or row["status"] != "ok":
             return None
-        lines = self.lines().filter(
-            (F.col("archive") == row["archive"]) & (F.col("member") == row["member"])
-        )
-        return archives.member_table(
-            lines, lambda n: T.StringType() if n in _TEXT_COLUMNS else T.LongType()
+        records = self.records(row["archive"], row["member"])
+        header = records.filter("record_no = 0").first()
+        if header is None:
+            return None
+        return zips.record_table(
+            records,
+            header["fields"],
+            lambda n: T.StringType() if n in _TEXT_COLUMNS else T.LongType(),
         )
 
     def source_metric(self, partition_key: str) -> DataFrame:

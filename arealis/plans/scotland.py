@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import itertools
 import logging
 from datetime import date
@@ -24,7 +23,7 @@ from arealis.operators.reshape import melt_crosstab, pivot_table, unpivot_values
 from arealis.operators.sets import stack
 from arealis.plans.template import CountryPlan, MetricsOutput
 from arealis.schemas import GEO_ID
-from arealis.sources import archives, boundaries, delimited
+from arealis.sources import archives, boundaries, delimited, zips
 from arealis.specs import (
     CountryRecord,
     DelimitedFormat,
@@ -208,9 +207,7 @@ class Scotland(CountryPlan):
 
     def members(self) -> DataFrame:
         """Members of all archives with their level and table name."""
-        found = archives.list_members(
-            self.archives()
-        )
+        found = self.archive_members(content=False)
         source = F.regexp_replace(
             F.regexp_extract(F.url_decode("archive"), r"([^/]*)\.zip$", 1), "_", " "
         )
@@ -269,20 +266,13 @@ class Scotland(CountryPlan):
         layer = boundaries.with_properties(features, names)
         return join_on_names(layer, self.lookup(), level.left_on, level.right_on)
 
-    def lines(self) -> DataFrame:
-        """Lines of all archive members, each archive unpacked once."""
-        return self.kept(
-            "lines", lambda: archives.member_lines(archives.expand_archives(self.archives()))
-        )
-
     def census_table(self, partition_key: str) -> DataFrame | None:
         row = self.catalogue().filter(F.col("partition_key") == partition_key).first()
         if row is None:
             return None
-        lines = self.lines().filter(
-            (F.col("archive") == row["archive"]) & (F.col("member") == row["member"])
-        )
-        header = lines.filter("line_no = 0").first()
+        archive = row["archive"].rpartition("/")[2]
+        records = zips.csv_records(self.archive_members(archive=archive, member=row["member"]))
+        header = records.filter("record_no = 0").first()
         if header is None:
             return None
         # Blank headers become positional: the area first, then the keys.
@@ -294,11 +284,7 @@ class Scotland(CountryPlan):
             at = next(position)
             return GEO_ID if at == 0 else f"key_{at - 1}"
 
-        names = [named(c) for c in next(csv.reader([header["line"]]))]
-        ddl = ", ".join(f"{quoted(n)} string" for n in names)
-        return (
-            lines.filter("line_no > 0").select(F.from_csv("line", ddl).alias("r")).select("r.*")
-        )
+        return zips.record_table(records, [named(c) for c in header["fields"]])
 
     def source_metric(self, partition_key: str) -> DataFrame:
         level = partition_key.split("/")[1]

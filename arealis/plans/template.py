@@ -17,7 +17,7 @@ from arealis.operators.sets import stack
 from arealis.schemas import published_schema
 from arealis.session import scratch_path
 from arealis.sinks import publish as sink
-from arealis.sources import archives, boundaries
+from arealis.sources import boundaries, zips
 from arealis.specs import CountryRecord, GeometryLevel, PublisherRecord, ReleaseTemplate
 
 
@@ -109,9 +109,11 @@ class CountryPlan(ABC):
             return boundaries.read_feature_collections(self.spark, path)
         return boundaries.read_feature_lines(self.spark, path)
 
-    def archives(self) -> DataFrame:
-        """Landed zip files as ``(archive, content)``."""
-        return archives.read_archives(self.spark, f"{self.landed}/archives/*.zip")
+    def archive_members(
+        self, content: bool = True, archive: str = "*.zip", member: str | None = None
+    ) -> DataFrame:
+        """Members of the landed zip files, in chunks, or their list without ``content``."""
+        return zips.read_zip_members(self.spark, f"{self.landed}/archives/{archive}", content, member)
 
     def geometry(self) -> list[LevelOutput]:
         layers = {level.level: self.boundary_layer(level) for level in self.levels}

@@ -14,6 +14,11 @@ def values(spark, column, rows, schema="a string"):
     return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
 
 
+def test_title_case_after_other_blanks(spark):
+    samples = ["ab\ncd", "ab\tcd ef", "ab\u00a0cd", "o'neil-x\r\nyz", "a\n\nb"]
+    assert values(spark, text.title_case(F.col("a")), [(s,) for s in samples]) == [s.title() for s in samples]
+
+
 def test_title_case_matches_python(spark):
     samples = [
         "(HISPANIC-LATINO) 3RD o'neil", "", "élan ÉTÉ", "a_b c-d", "x1y2z", "ALL PEOPLE", "straße ßa", "  two  blanks ",

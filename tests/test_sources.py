@@ -5,8 +5,9 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arealis.sources import archives, boundaries, delimited, landed, nested, pages, triples
+from arealis.sources import archives, boundaries, delimited, landed, nested, pages, triples, zips
 from arealis.specs import DelimitedFormat
 
 
@@ -50,13 +51,56 @@ def test_member_picks(spark, landed_zips):
     assert by_suffix["two.zip"] == (None, "absent")
 
 
-def test_member_content(spark, landed_zips):
-    from pyspark.sql import types as T
+def test_zip_members_are_listed_and_picked(spark, landed_zips):
+    listed = zips.read_zip_members(spark, f"{landed_zips}/*.zip", content=False)
+    wanted = listed.select("archive", F.lit("a-oa.csv").alias("wanted")).distinct()
+    lenient = by_name(archives.pick_members_with_fallback(listed, wanted))
+    assert lenient == {
+        "one.zip": ("anything.dat", "ok"), "match.zip": ("a-oa.csv", "ok"), "slip.zip": ("a-oa..csv", "ok"),
+        "empty.zip": ("a-oa.csv", "empty"), "bad.zip": (None, "malformed"), "two.zip": (None, "absent"),
+    }
+
+
+def test_only_wanted_members_are_unpacked(spark, tmp_path):
+    """The bytes of the other member are broken: reading them would fail."""
+    (tmp_path / "x.zip").write_bytes(zipped({"good.csv": "h\n1\n" * 100, "bad.csv": "k\n2\n" * 100}))
+    with zipfile.ZipFile(tmp_path / "x.zip") as z:
+        at = z.getinfo("bad.csv").header_offset
+    raw = bytearray((tmp_path / "x.zip").read_bytes())
+    raw[at + 37 : at + 45] = b"\xff" * 8
+    (tmp_path / "x.zip").write_bytes(raw)
+    good = zips.read_zip_members(spark, f"{tmp_path}/x.zip", member="good.csv")
+    assert b"".join(r.content for r in good.collect()) == b"h\n1\n" * 100
+    members = zips.read_zip_members(spark, f"{tmp_path}/*.zip")
+    assert zips.read_zip_members(spark, f"{tmp_path}/*.zip", content=False).count() == 2
+    with pytest.raises(Exception, match="CRC|decompress|invalid|Error"):
+        members.collect()
+
 
-    expanded = archives.expand_archives(archives.read_archives(spark, f"{landed_zips}/match.zip"))
-    lines = archives.member_lines(expanded).filter("member = 'a-lsoa.csv'")
-    assert archives.member_table(lines, lambda _: T.LongType()).collect()[0].asDict() == {"h": 2}
-    assert archives.member_table(lines.limit(0), lambda _: T.LongType()) is None
+CSV_TEXT = 'id,"the\nname",n\r\n1,"two\nlines, and ""quotes""",5\r\n\n2,short\n3,a,b,too,many\n4,x\u2028y,no number\n'
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 20])
+def test_csv_records_over_chunks(spark, monkeypatch, tmp_path, chunk):
+    (tmp_path / "t.zip").write_bytes(zipped({"a.csv": CSV_TEXT, "empty.csv": "", "b.csv": 'h\n"open\n1\n', "c.csv": "x\n9\n"}))
+    monkeypatch.setattr(zips, "CHUNK_BYTES", chunk)
+    assert [x for x in zips._lines((CSV_TEXT.encode()[i : i + chunk] for i in range(0, 200, chunk)), "utf-8")] == [
+        line + "\n" for line in CSV_TEXT.split("\n")[:-1]
+    ]
+    records = zips.csv_records(zips.read_zip_members(spark, f"{tmp_path}/t.zip"))
+    found = {(r.member, r.record_no): r.fields for r in records.collect() if r.problem is None}
+    assert found[("a.csv", 0)] == ["id", "the\nname", "n"]
+    assert found[("a.csv", 1)] == ["1", 'two\nlines, and "quotes"', "5"]
+    assert found[("a.csv", 4)] == ["4", "x\u2028y", "no number"]
+    assert found[("c.csv", 1)] == ["9"]
+    problems = {r.member: (r.n_records, r.n_malformed) for r in zips.record_problems(records).collect()}
+    assert problems == {"a.csv": (4, 1), "b.csv": (1, 1), "c.csv": (1, 0)}
+    table = zips.record_table(
+        records.filter("member = 'a.csv'"), ["id", "name", "n"], lambda n: T.StringType() if n == "name" else T.LongType()
+    )
+    assert sorted(tuple(r) for r in table.collect()) == [
+        (1, 'two\nlines, and "quotes"', 5), (2, "short", None), (4, "x\u2028y", None)
+    ]
 
 
 def test_table_members(spark):

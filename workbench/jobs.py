@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 
-import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from arealis.functions.codes import column_to_variable
@@ -19,8 +18,9 @@ from arealis.plans import belgium, england_wales, northern_ireland, open_boundar
 from arealis.session import scratch_path
 from arealis.sinks.publish import write_metrics
 from arealis.sources import triples as R
+from arealis.sources import zips
 from workbench.base import OBS, POP, SEGMENTS, STATUSES, observations, population, query, table
-from workbench.deriving import AGE_METRICS, HEADERS, wide_by_header
+from workbench.deriving import _HEADER_SQL, AGE_METRICS, HEADERS, wide_by_header
 from workbench.scanning import customer_grid
 
 
@@ -206,25 +206,44 @@ def job_codes_and_labels(spark, sf):
 # C-3 ------------------------------------------------------------------------
 
 
-def _zip_table(archive: str, member: str):
-    """Function for ``applyInPandas``: an aggregated table's lines to one zip."""
+def land_archive(lines, path: str, member: str):
+    """Lines in the order of ``position`` as the member of a landed zip, next to one that is no table.
 
-    def build(lines: pd.DataFrame) -> pd.DataFrame:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr(member, "\n".join(lines.sort_values("position")["line"]) + "\n")
-            z.writestr("bulk_output.txt", "all tables")
-        return pd.DataFrame({"archive": [archive], "content": [buffer.getvalue()]})
+    Spark sorts and writes the lines; packing stands for the download and streams the files it wrote.
+    """
+    parts = scratch_path(lines.sparkSession, "member")
+    lines.orderBy("position").select("line").write.text(parts)
+    system, inner = zips._file_system(path)
+    source, folder = zips._file_system(parts)
+    system.create_dir(inner.rpartition("/")[0], recursive=True)
+    names = sorted(f.path for f in source.get_file_info(fs.FileSelector(folder)) if f.base_name.startswith("part-"))
+    with system.open_output_stream(inner) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        with z.open(member, "w") as packed:
+            for name in names:
+                with source.open_input_stream(name) as part:
+                    while data := part.read(zips.CHUNK_BYTES):
+                        packed.write(data)
+        z.writestr("bulk_output.txt", "all tables")
 
-    return build
 
-
-def land_archive(lines, path: str, archive: str, member: str):
-    """Lines of an aggregated table (a few rows per area) as a landed archive."""
-    zipped = lines.groupBy(F.lit(1).alias("g")).applyInPandas(
-        _zip_table(archive, member), "archive string, content binary"
+@query(
+    "csv_quoted_records",
+    """SELECT 'texts.csv' AS member, CAST(doc_id AS BIGINT) AS doc_id, nullif(text, '') AS text FROM documents""",
+)
+def csv_quoted_records(spark, sf):
+    """Whole texts, line breaks and quotes included, through the quoted fields of an archived CSV member."""
+    path = f"{scratch_path(spark, 'quoted')}/texts.zip"
+    quoted_text = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    body = table(spark, sf, "documents").select(
+        F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("position"),
+        F.concat_ws(",", F.col("doc_id").cast("string"), quoted_text).alias("line"),
+    )
+    header = spark.createDataFrame([("", "doc_id,text")], "position string, line string")
+    land_archive(header.unionByName(body), path, "texts.csv")
+    records = zips.csv_records(zips.read_zip_members(spark, path, member="texts.csv"))
+    return zips.record_table(records, ["doc_id", "text"]).select(
+        F.lit("texts.csv").alias("member"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"
     )
-    zipped.write.parquet(path)
 
 
 _BAND = """CASE WHEN age < 5 THEN '0 to 4' WHEN age < 10 THEN '5 to 9' WHEN age < 12 THEN '10 to 11' WHEN age < 15 THEN '12 to 14'
@@ -233,11 +252,6 @@ _BAND = """CASE WHEN age < 5 THEN '0 to 4' WHEN age < 10 THEN '5 to 9' WHEN age
 _BAND_SQL = _BAND.format(five="(age // 5 * 5)")
 
 
-class _StoredScotland(scotland.Scotland):
-    def archives(self):
-        return self.spark.read.parquet(f"{self.landed}/archives")
-
-
 @query(
     "job_crosstab",
     f"""WITH {POP}, p AS (SELECT "GEO_ID", age, sex, count, {_BAND_SQL} AS band FROM pop WHERE sex IS NOT NULL),
@@ -271,10 +285,10 @@ def job_crosstab(spark, sf):
         F.concat_ws(",", "GEO_ID", "band", shown(both), shown(F.col("Male")), shown(F.col("Female"))).alias("line"),
     )
     header = spark.createDataFrame([("0", ",,All people,Males,Females")], "position string, line string")
-    land_archive(header.unionByName(body), f"{base}/archives", "/x/Output_Area_blk.zip", "LC1117SC.csv")
+    land_archive(header.unionByName(body), f"{base}/archives/Output_Area_blk.zip", "LC1117SC.csv")
     index = '3A,LC1117SC,Age by sex,All people,Age,OA,2011,,\n3A,LC1117SC,Age by sex,All people,Sex,OA,2011,,'
     spark.createDataFrame([(x,) for x in index.split("\n")], "value string").coalesce(1).write.text(f"{base}/index.csv")
-    plan = _StoredScotland(spark, base)
+    plan = scotland.Scotland(spark, base)
     plan.allow_missing = False
     return fold_to_long(plan.derived_metrics("2011/OutputArea2011/LC1117SC").metrics, value_type="bigint")
 
@@ -282,19 +296,14 @@ def job_crosstab(spark, sf):
 # C-4 ------------------------------------------------------------------------
 
 
-class _StoredEngland(england_wales.EnglandAndWales):
-    def archives(self):
-        return self.spark.read.parquet(f"{self.landed}/archives")
-
-
 @query(
     "job_wide_headers",
-    f"""WITH {POP} SELECT "GEO_ID",
-      CAST(coalesce(sum(count) FILTER (WHERE age BETWEEN 5 AND 17), 0) AS BIGINT) AS children_5_17,
-      CAST(coalesce(sum(count) FILTER (WHERE age >= 18 AND sex = 'Female'), 0) AS BIGINT) AS adults_f,
-      CAST(sum(count) AS BIGINT) AS individuals,
-      CAST(sum(count) FILTER (WHERE sex = 'Male' AND age = 7) AS BIGINT) AS "Sex: Male; Age: Aged 7 years; measures: Value"
-    FROM pop GROUP BY 1""",
+    f"""{_HEADER_SQL.replace('SELECT "GEO_ID",', ', d AS (SELECT "GEO_ID",', 1)}),
+    f AS (SELECT "GEO_ID", age, count, unnest(list_filter(['All persons', sex], lambda x: x IS NOT NULL)) AS s FROM pop),
+    w AS (SELECT "GEO_ID", count, s, unnest(['Age: Total', CASE age WHEN 0 THEN 'Age: Aged under 1 year'
+      WHEN 49 THEN 'Age: Aged 90 years and over' WHEN 1 THEN 'Age: Aged 1 year' ELSE 'Age: Aged ' || age || ' years' END]) AS a FROM f)
+    SELECT "GEO_ID", 'Sex: ' || s || '; ' || a || '; measures: Value' AS metric, CAST(sum(count) AS BIGINT) AS value FROM w GROUP BY ALL
+    UNION ALL SELECT "GEO_ID", metric, value FROM (UNPIVOT d ON COLUMNS(* EXCLUDE "GEO_ID") INTO NAME metric VALUE value)""",
 )
 def job_wide_headers(spark, sf):
     base = scratch_path(spark, "wide")
@@ -306,7 +315,7 @@ def job_wide_headers(spark, sf):
         F.concat_ws(",", F.lit("2021"), F.concat(F.lit("Area "), "GEO_ID"), "GEO_ID", *cells).alias("line"),
     )
     header = spark.createDataFrame([("0", ",".join(["date", "geography", "geography code", *names]))], "position string, line string")
-    land_archive(header.unionByName(body), f"{base}/archives", "/x/census2021-ts009.zip", "census2021-ts009-ltla..csv")
+    land_archive(header.unionByName(body), f"{base}/archives/census2021-ts009.zip", "census2021-ts009-ltla..csv")
     bulk = (
         "<table><tr><th>a</th><th>b</th><th>c</th><th>d</th></tr><tr><td colspan='4'>Demography</td></tr>"
         "<tr><td>TS009</td><td>Sex by age</td><td><a href='/output/census/2021/census2021-ts009.zip'>census2021-ts009.zip</a></td><td></td></tr></table>"
@@ -314,8 +323,8 @@ def job_wide_headers(spark, sf):
     spark.createDataFrame([("u", bulk)], "url string, html string").write.parquet(f"{base}/bulk")
     page = ("https://www.nomisweb.co.uk/datasets/c2021ts009", '<div id="dataset-landing-information"><p>Sex by single year</p></div>')
     spark.createDataFrame([page], "url string, html string").write.parquet(f"{base}/pages")
-    output = _StoredEngland(spark, base).derived_metrics("ltla/TS009")
-    return output.metrics.select("GEO_ID", "children_5_17", "adults_f", "individuals", quoted("Sex: Male; Age: Aged 7 years; measures: Value"))
+    output = england_wales.EnglandAndWales(spark, base).derived_metrics("ltla/TS009")
+    return fold_to_long(output.metrics, value_type="bigint")
 
 
 # C-5, C-8 ---------------------------------------------------------------------
