@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm.common import blocks, fold, stored, substring_hashes, text_bytes, words
@@ -137,19 +137,22 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
         return None
     prior = min(0.9, max(1e-4, sizes[1] / sizes[0]))
     n_docs = docs.count()
-    place = (F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double")) / 2**32
+    def place(identity: str) -> Column:
+        return F.conv(F.substring(F.md5(F.col(identity).cast("string")), 1, 8), 16, 10).cast("double") / 2**32
+
     usable = docs.select("doc_id", "text").where((fold("doc_id") != HELD_OUT) & F.col("doc_id").isNotNull())
-    confirmed = (
-        usable.join(known.where("toxic = 1"), F.col("doc_id") == F.col("known_id"), "left")
-        .select("text", (F.col("toxic") == 1).alias("confirmed"), place.alias("place"))
+    # drawn on ids alone: the sample's bound bounds the broadcast, and no text is shuffled
+    chosen = known.where((F.col("toxic") == 1) & (place("known_id") < POSITIVES / sizes[1])).select("known_id")
+    drawn_rows = (
+        usable.join(F.broadcast(chosen), F.col("doc_id") == F.col("known_id"), "left")
         # the unlabelled rows stand for all text, so confirmed documents are among them as well
-        .withColumn("in_p", F.col("confirmed") & (F.col("place") < POSITIVES / sizes[1]))
-        .withColumn("in_u", F.col("place") < UNLABELLED / max(1, n_docs))
+        .withColumn("in_p", F.col("known_id").isNotNull())
+        .withColumn("in_u", place("doc_id") < UNLABELLED / max(1, n_docs))
         .withColumn("toxic", F.explode(F.array(F.when(F.col("in_p"), 1), F.when(F.col("in_u"), 0))))
         .where("toxic is not null")
         .select("toxic", "text")
     )
-    sample = stored(confirmed, "toxicity-sample")
+    sample = stored(drawn_rows, "toxicity-sample")
     drawn = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = drawn.get(1, 0), drawn.get(0, 0)
     if not n_p or not n_u:
