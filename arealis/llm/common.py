@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from arealis.session import scratch_path
 
 #: Bytes of text that one numpy pass works on; a longer document is a pass of its own.
 BLOCK_BYTES = 1 << 20
+#: Ranges of more bytes are hashed one by one.
+LONG_RANGE = 1 << 10
 #: Bytes that part words: space and 0x09 to 0x0D.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,15 +58,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the rolling base and of its inverse modulo 2**64, at least n of each."""
-    if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-            row = np.full(size, base, np.uint64)
-            row[0] = 1
-            with np.errstate(over="ignore"):
-                _powers[name] = np.multiply.accumulate(row)
-    return _powers["up"][:n], _powers["down"][:n]
+    """Powers of the rolling base and of its inverse modulo 2**64, at least n of each.
+
+    Tables for whole blocks are kept; larger ones, for longer texts, are not.
+    """
+    if "up" in _powers and len(_powers["up"]) >= n:
+        return _powers["up"][:n], _powers["down"][:n]
+    size, made = max(n, BLOCK_BYTES + 2), {}
+    for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
+        row = np.full(size, base, np.uint64)
+        row[0] = 1
+        with np.errstate(over="ignore"):
+            made[name] = np.multiply.accumulate(row)
+    if size <= 2 * BLOCK_BYTES:
+        _powers.update(made)
+    return made["up"][:n], made["down"][:n]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
@@ -81,6 +90,31 @@ def substring_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) ->
         return mix64((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, eight bytes at a time through a mixer; long ranges by BLAKE2.
+
+    Unlike the rolling hashes above these are not linear, so no family of texts hashes alike.
+    """
+    size = (end - start).astype(np.int64)
+    out = mix64(size.astype(np.uint64) + np.uint64(_BASE))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    window = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    alive = np.flatnonzero((size > 0) & (size <= LONG_RANGE))
+    at = 0
+    while len(alive):
+        chunk = window[start[alive] + at].copy().view("<u8").ravel()
+        left = np.minimum(size[alive] - at, 8).astype(np.uint64)
+        chunk &= np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left)
+        with np.errstate(over="ignore"):
+            out[alive] = mix64(out[alive] * np.uint64(_BASE) + mix64(chunk + np.uint64(at + 1)))
+        at += 8
+        alive = alive[size[alive] > at]
+    for i in np.flatnonzero(size > LONG_RANGE):
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes per row; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -101,7 +135,7 @@ def blocks(sizes: list[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
 def words(
     texts: list[bytes], apart: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix hashes of the lower-cased texts, start and end of every word, each text's first word.
+    """Bytes of the lower-cased texts, start and end of every word, each text's first word.
 
     ``apart`` says which bytes part words; blanks must be among them.
     """
@@ -110,7 +144,7 @@ def words(
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space])))
     start, end = edge[0::2], edge[1::2]
     firsts = np.cumsum([0, *(len(x) + 1 for x in texts)])
-    return prefix_hashes(data), start, end, np.searchsorted(start, firsts)
+    return data, start, end, np.searchsorted(start, firsts)
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -118,8 +152,8 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
 
     A text of fewer words gives its whole sequence as one shingle, one without words none.
     """
-    prefix, start, end, first = words(texts)
-    found = substring_hashes(prefix, start, end)
+    data, start, end, first = words(texts)
+    found = span_hashes(data, start, end)
     factors = mix64(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
     with np.errstate(over="ignore"):
         if len(found) >= width:

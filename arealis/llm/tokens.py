@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from arealis.llm.common import BLOCK_BYTES, blocks, prefix_hashes, substring_hashes
+from arealis.llm.common import BLOCK_BYTES, blocks, span_hashes
 
-#: Distinct pieces whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 1 << 21
+#: Bytes of pieces, hashes and ids that a worker remembers before it starts anew.
+REMEMBERED = 64 << 20
 #: Pieces that are encoded in one call.
 CALL = 64
 
@@ -34,12 +34,29 @@ def _ends_in_print(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _equal(
+    data: np.ndarray, start: np.ndarray, size: np.ndarray,
+    other: np.ndarray, begin: np.ndarray, length: np.ndarray,
+) -> np.ndarray:
+    """Whether ranges of two arrays of bytes, none of them empty, are the same."""
+    out = size == length
+    rows = np.flatnonzero(out)
+    if len(rows):
+        n = size[rows].astype(np.int64)
+        first = np.cumsum(n) - n
+        step = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+        same = data[np.repeat(start[rows], n) + step] == other[np.repeat(begin[rows], n) + step]
+        out[rows] = np.logical_and.reduceat(same, first)
+    return out
+
+
 class Encoder:
     """Byte-level BPE, one distinct piece at a time.
 
     The vocabulary's pattern never joins text across a space that follows a character other than
-    white space.  Between such spaces lie the pieces; those that a worker has met are looked up by a
-    64-bit hash, the others are encoded by the tokenizers library.
+    white space.  Between such spaces lie the pieces; those that a worker has met are looked up, the others
+    are encoded by the tokenizers library.  A 64-bit hash brings equal pieces together, and bytes are
+    compared before a piece stands for another one; what only shares the hash is encoded by itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,8 +70,10 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes = np.empty(0, np.uint64)
-        self.places = np.empty((0, 2), np.int64)
+        #: where a piece's ids begin and how many there are, where its bytes begin and how many
+        self.places = np.empty((0, 4), np.int32)
         self.ids = np.empty(0, np.uint32)
+        self.bytes = np.empty(0, np.uint8)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -75,10 +94,17 @@ class Encoder:
             counts[g] = np.diff(np.concatenate([[0], ends])) if len(g) > 1 else len(ids)
         starts = np.empty(len(pieces), np.int64)
         starts[order] = np.cumsum(counts[order]) - counts[order] + len(self.ids)
+        sizes = np.array([len(p) for p in pieces])
+        places = np.stack([starts, counts, np.cumsum(sizes) - sizes + len(self.bytes), sizes], 1)
         self.ids = np.concatenate([self.ids, *found])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)])
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)
-        self.places = np.insert(self.places, at, np.stack([starts, counts], 1), axis=0)
+        self.places = np.insert(self.places, at, places.astype(np.int32), axis=0)
+
+    def _full(self) -> bool:
+        held = (self.hashes, self.places, self.ids, self.bytes)
+        return sum(x.nbytes for x in held) > REMEMBERED
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
@@ -93,26 +119,36 @@ class Encoder:
         begins[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
+        size = ends - starts
         found, first, which = np.unique(
-            substring_hashes(prefix_hashes(data), starts, ends), return_index=True, return_inverse=True
+            span_hashes(data, starts, ends), return_index=True, return_inverse=True
         )
-        if len(self.hashes) > REMEMBERED:
+        # pieces that differ from the first one with their hash
+        odd = np.flatnonzero(~_equal(data, starts, size, data, starts[first][which], size[first][which]))
+        if self._full():
             self._forget()
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
-            new = np.flatnonzero(self.hashes[at] != found)
-        else:
-            new = np.arange(len(found))
+        at = np.minimum(np.searchsorted(self.hashes, found), max(0, len(self.hashes) - 1))
+        seen = self.hashes[at] == found if len(self.hashes) else np.zeros(len(found), bool)
+        new = np.flatnonzero(~seen)
+        old = np.flatnonzero(seen)
+        _, _, begin, length = self.places[at[old]].T
+        other = old[~_equal(data, starts[first[old]], size[first[old]], self.bytes, begin, length)]
+        if len(other):
+            odd = np.union1d(odd, np.flatnonzero(np.isin(which, other)))
+        raw = data.tobytes()
         if len(new):
             a, b = starts[first[new]], ends[first[new]]
-            raw = data.tobytes()
             pieces = [raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
             self._learn(found[new], pieces, (data[a] == 0x20) & closing[b - 1])
-        places = self.places[np.searchsorted(self.hashes, found)][which]
-        last = np.cumsum(places[:, 1])
-        ids = self.ids[
-            np.repeat(places[:, 0] - last + places[:, 1], places[:, 1]) + np.arange(last[-1])
-        ]
+        places = self.places[np.searchsorted(self.hashes, found)][which].astype(np.int64)
+        begin, counts, known = places[:, 0], places[:, 1], self.ids
+        if len(odd):
+            apart = [self._encode([raw[starts[i] : ends[i]].decode()])[0] for i in odd.tolist()]
+            counts[odd] = [len(x) for x in apart]
+            begin[odd] = len(known) + np.cumsum(counts[odd]) - counts[odd]
+            known = np.concatenate([known, *apart])
+        last = np.cumsum(counts)
+        ids = known[np.repeat(begin - last + counts, counts) + np.arange(last[-1])]
         cuts = np.append(0, last)[np.searchsorted(starts, offsets)]
         return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
@@ -127,5 +163,5 @@ def encoder(path: str) -> Encoder:
 def encoded(path: str, texts: list[bytes]) -> Iterator[np.ndarray]:
     """Ids of UTF-8 texts, in turn."""
     found = encoder(path)
-    for a, b in blocks([len(x) for x in texts], 2 * BLOCK_BYTES):
+    for a, b in blocks([len(x) for x in texts], BLOCK_BYTES):
         yield from found.encode(texts[a:b])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import blocks, fold, stored, substring_hashes, text_bytes, words
+from arealis.llm.common import blocks, fold, prefix_hashes, stored, substring_hashes, text_bytes, words
 
 DIMENSIONS = 1 << 20
 #: Bytes of a word's beginning that make features besides the whole word.
@@ -38,7 +38,8 @@ _APART[:0x30] = _APART[0x3A:0x41] = _APART[0x5B:0x61] = _APART[0x7B:0x80] = True
 
 def feature_bins(texts: list[bytes], keep: np.ndarray | None = None) -> list[np.ndarray]:
     """Per text the sorted distinct bins of its words and their beginnings; only kept ones if asked."""
-    prefix, start, end, first = words(texts, _APART)
+    data, start, end, first = words(texts, _APART)
+    prefix = prefix_hashes(data)
     owner = np.searchsorted(first[1:], np.arange(len(start)), side="right")
     bins, owners = [], []
     for salt, size in enumerate((None, *BEGINNINGS)):

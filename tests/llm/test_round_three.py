@@ -12,8 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.llm import prefix_trie, secret_scan
+from arealis.llm.near_dedup import near_duplicates
 from arealis.llm.prefix_trie import conversation_trie
 from arealis.llm.secret_scan import found_secrets, log_ratio, pattern_spans, secret_digests, transitions
+from arealis.llm.tokens import default_vocabulary, encoded
 from arealis.llm.whitening import one_sided_jacobi, pivoted_cholesky, whitened
 from tests.llm.helpers import WORD, frame, sentence
 
@@ -320,3 +322,46 @@ def test_pivoted_cholesky_and_jacobi():
 def test_extra_columns_do_not_matter(spark):
     docs = frame(spark, [(1, "token=abcdefgh1", None)]).withColumn("spans", F.lit(1)).withColumn("part", F.lit("p"))
     assert secret_digests(docs).first().n_assign == 1
+
+
+# ---- identity by bytes
+
+
+def parity_words():
+    """Two words that polynomial hashes modulo powers of two cannot tell apart."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_ids_are_the_librarys_for_words_that_hash_alike():
+    from tokenizers import Tokenizer
+
+    a, b = parity_words()
+    texts = [a, b, f"x {a} y {b}", "", b, "é " + a]
+    tokenizer = Tokenizer.from_file(default_vocabulary())
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    found = [x.tolist() for x in encoded(default_vocabulary(), [t.encode() for t in texts])]
+    assert found == expected
+
+
+def test_pieces_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    """With a hash of the first byte and size alone nearly all pieces collide, inside blocks and over them."""
+    from tokenizers import Tokenizer
+
+    from arealis.llm import tokens
+
+    monkeypatch.setattr(tokens, "span_hashes", lambda data, a, b: data[a].astype(np.uint64) * 64 + (b - a).astype(np.uint64))
+    encoder = tokens.Encoder(default_vocabulary())
+    tokenizer = Tokenizer.from_file(default_vocabulary())
+    rng = random.Random(6)
+    for _ in range(3):
+        texts = [sentence(rng, 50), "one two six ten", "", "the the cat sat"]
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == expected
+
+
+def test_words_that_hash_alike_are_different_words(spark):
+    a, b = parity_words()
+    rows = [(1, a, None), (2, b, None), (3, f"u v w {a}", None), (4, f"u v w {b}", None), (5, a, None)]
+    found = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows)).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
