@@ -52,51 +52,57 @@ def survey_columns(df: DataFrame, kind: str) -> list[str]:
     return [c for c in df.columns if re.fullmatch(rf"B[^_]*_{kind}.*", c)]
 
 
-# Header wording of the wide sex-by-age tables.
-SEX_HEADER = {
-    "total": r"Sex: All persons;",
-    "female": r"Sex: Female;",
-    "male": r"Sex: Male;",
-}
-AGE_HEADER = r"Age: Aged (\d\d?) years?; measures: Value"
-UNDER_ONE_HEADER = r"Age: Aged under 1 year; measures: Value"
-OLDEST_HEADER = r"Age: Aged 90 years and over; measures: Value"
-ALL_AGES_HEADER = r"Age: Total; measures: Value"
-
-
-def header_age(header: str) -> int | None:
-    """Single year of age in a header; infants are 0 and the open band is 90."""
-    if re.search(UNDER_ONE_HEADER, header):
-        return 0
-    if re.search(OLDEST_HEADER, header):
-        return 90
-    found = re.search(AGE_HEADER, header)
-    return int(found.group(1)) if found else None
-
-
-def columns_for_sex_and_age(
-    columns: list[str], sex: str, ages: tuple[int, int] | None
-) -> list[str]:
+# Words of the wide tables' headers, which read "Sex: …; Age: …; measures: Value".
+SEXES = {"All persons": "total", "Female": "female", "Male": "male"}
+ALL_AGES = "Total"
+BOUND_AGES = {"Aged under 1 year": 0, "Aged 90 years and over": 90}
+
+
+def header_parts(header: str) -> dict[str, str]:
+    """The parts of a header by their names."""
+    named = (part.partition(":") for part in header.split(";"))
+    return {name.strip(): value.strip() for name, _, value in named}
+
+
+def single_age(words: str) -> int | None:
+    """Single year of age: infants are 0, the open band is 90, anything else but ``Aged n years`` is none."""
+    if words in BOUND_AGES:
+        return BOUND_AGES[words]
+    match words.split():
+        case ["Aged", number, "year" | "years"] if number.isdecimal():
+            return int(number)
+    return None
+
+
+def sex_age_columns(columns: list[str], sex: str, ages: tuple[int, int] | None) -> list[str]:
     """Wide columns of one sex within an inclusive age range, or its all-ages column."""
-    of_sex = [c for c in columns if re.search(SEX_HEADER[sex], c)]
-    if ages is None:
-        return [c for c in of_sex if re.search(ALL_AGES_HEADER, c)]
-    low, high = ages
-    return [c for c in of_sex if (a := header_age(c)) is not None and low <= a <= high]
+    chosen = []
+    for column in columns:
+        parts = header_parts(column)
+        if SEXES.get(parts.get("Sex", "")) != sex:
+            continue
+        words = parts.get("Age", "")
+        age = single_age(words)
+        if words == ALL_AGES if ages is None else age is not None and ages[0] <= age <= ages[1]:
+            chosen.append(column)
+    return chosen
 
 
 def header_facts(header: Column) -> dict[str, Column]:
     """Sex and age out of a header held in a column (after an unpivot)."""
-    sex = None
-    for name, pattern in SEX_HEADER.items():
-        hit = header.rlike(pattern)
-        sex = F.when(hit, name) if sex is None else sex.when(hit, name)
-    age = (
-        F.when(header.rlike(UNDER_ONE_HEADER), F.lit(0))
-        .when(header.rlike(OLDEST_HEADER), F.lit(90))
-        .otherwise(F.regexp_extract(header, AGE_HEADER, 1).try_cast("int"))
-    )
-    return {"sex": sex, "age": age, "all_ages": header.rlike(ALL_AGES_HEADER)}
+    parts = F.str_to_map(header, F.lit(r";\s*"), F.lit(r":\s*"))
+    words = F.element_at(parts, F.lit("Age"))
+
+    def looked_up(known: dict, key: Column) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), key)
+
+    return {
+        "sex": looked_up(SEXES, F.element_at(parts, F.lit("Sex"))),
+        "age": F.coalesce(
+            looked_up(BOUND_AGES, words), F.get(F.split(words, " "), F.lit(1)).try_cast("int")
+        ),
+        "all_ages": words == ALL_AGES,
+    }
 
 
 def not_blank(column: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions.codes import column_to_variable, column_to_variable_name
-from arealis.operators.columns import columns_for_sex_and_age, quoted, survey_columns
+from arealis.operators.columns import sex_age_columns, quoted, survey_columns
 from arealis.schemas import GEO_ID
 from arealis.specs import DerivedMetric, DictionaryMetric, HeaderMetric
 
@@ -54,7 +54,7 @@ def row_sum(columns: list[str]) -> Column:
 def add_header_metrics(df: DataFrame, specs: list[HeaderMetric]) -> DataFrame:
     """Add metrics summed over the wide columns their headers select."""
     return df.withColumns(
-        {s.name: row_sum(columns_for_sex_and_age(df.columns, s.sex, s.ages)) for s in specs}
+        {s.name: row_sum(sex_age_columns(df.columns, s.sex, s.ages)) for s in specs}
     )
 
 

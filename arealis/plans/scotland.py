@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import logging
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -34,8 +33,6 @@ from arealis.specs import (
     ReleaseTemplate,
 )
 
-log = logging.getLogger(__name__)
-
 CENSUS_DAY = date(2011, 3, 27)
 NEXT_UPDATE = date(2022, 1, 1)
 WHOLE_COUNTRY = "S92000003"
@@ -57,8 +54,7 @@ RELEASES = [
     (
         "3B",
         date(2014, 3, 19),
-        _NEWS + "2014/census-2011-detailed-characteristics-on-ethnicity-identity-language-and-"
-        "religion-in-scotland-%E2%80%93-release-3b",
+        _NEWS + "2014/census-2011-detailed-characteristics-on-ethnicity-identity-language-and-religion-in-scotland-%E2%80%93-release-3b",
     ),
     ("3J", date(2014, 10, 16), _NEWS + "2014/census-2011-release-3j"),
     ("3M", date(2014, 12, 18), _NEWS + "2014/census-2011-release-3m"),
@@ -86,7 +82,10 @@ LEVELS = [
 # Age bands of the crosstabs.
 INFANTS = ["0 to 4"]
 CHILDREN_5_TO_17 = ["5 to 9", "10 to 11", "12 to 14", "15", "16 to 17"]
-ADULTS = ["18 to 19", *[f"{low} to {low + 4}" for low in range(20, 95, 5)], "95 and over"]
+ADULTS = [
+    "18 to 19", "20 to 24", "25 to 29", "30 to 34", "35 to 39", "40 to 44", "45 to 49", "50 to 54", "55 to 59",
+    "60 to 64", "65 to 69", "70 to 74", "75 to 79", "80 to 84", "85 to 89", "90 to 94", "95 and over",
+]
 
 
 def _in(bands: list[str], more: str = "") -> str:
@@ -126,6 +125,9 @@ DESCRIPTION_NAMES = {
     ],
 }
 
+# Reasons for which a partition has no metrics without anything being wrong.
+NO_TABLE, EMPTY_TABLE = "not in the catalogue", "empty member"
+
 INDEX_COLUMNS = [
     "census_release", "table_name", "description", "population_coverage", "variable",
     "catalog_resolution", "year", "additional_url", "population_coverage_and_variable",
@@ -195,6 +197,10 @@ class Scotland(CountryPlan):
     required: list[str] | None = None
     allow_missing = True
 
+    def __init__(self, *args, **kwargs) -> None:
+        super().__init__(*args, **kwargs)
+        self.skipped: dict[str, str] = {}
+
     def index(self) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in INDEX_COLUMNS])
         sheet = delimited.read_delimited(
@@ -266,15 +272,16 @@ class Scotland(CountryPlan):
         layer = boundaries.with_properties(features, names)
         return join_on_names(layer, self.lookup(), level.left_on, level.right_on)
 
-    def census_table(self, partition_key: str) -> DataFrame | None:
+    def census_table(self, partition_key: str) -> DataFrame | str:
+        """The table of a partition, or why there is none."""
         row = self.catalogue().filter(F.col("partition_key") == partition_key).first()
         if row is None:
-            return None
+            return NO_TABLE
         archive = row["archive"].rpartition("/")[2]
         records = zips.csv_records(self.archive_members(archive=archive, member=row["member"]))
         header = records.filter("record_no = 0").first()
-        if header is None:
-            return None
+        if header is None or header["fields"] is None:
+            return EMPTY_TABLE if header is None else header["problem"]
         # Blank headers become positional: the area first, then the keys.
         position = itertools.count()
 
@@ -303,18 +310,29 @@ class Scotland(CountryPlan):
         )
 
     def derived_metrics(self, partition_key: str) -> MetricsOutput | None:
-        try:
-            return self._derive(partition_key)
-        except Exception as error:
-            log.error("no metrics for %s: %s", partition_key, error)
-            if self.allow_missing:
-                return None
-            raise
-
-    def _derive(self, partition_key: str) -> MetricsOutput | None:
+        """The partition's metrics; a partition that has none is noted in ``skipped`` with the reason."""
+        output = self._derive(partition_key)
+        if isinstance(output, MetricsOutput):
+            return output
+        self.skipped[partition_key] = output
+        if not self.allow_missing and output not in (NO_TABLE, EMPTY_TABLE):
+            raise ValueError(output)
+        return None
+
+    def outcomes(self) -> DataFrame:
+        """(partition_key, status, reason) of all partitions of the catalogue after publishing."""
+        reasons = self.spark.createDataFrame(list(self.skipped.items()), "partition_key string, reason string")
+        return self.catalogue().select("partition_key").join(reasons, "partition_key", "left").select(
+            "partition_key",
+            F.when(F.col("reason").isNull(), "ok").otherwise("skipped").alias("status"),
+            "reason",
+        )
+
+    def _derive(self, partition_key: str) -> MetricsOutput | str:
+        """The metrics, or why there are none."""
         table = self.census_table(partition_key)
-        if table is None:
-            return None
+        if isinstance(table, str):
+            return table
         source = self.source_metric(partition_key)
         keys = [c for c in table.columns if c.startswith("key_")]
         values = [c for c in table.columns if c != GEO_ID and c not in keys]
@@ -324,10 +342,10 @@ class Scotland(CountryPlan):
             description_to_names(F.col("description"), DESCRIPTION_NAMES).alias("n")
         ).first()
         if described is None:
-            raise ValueError("no release or catalogue row")
+            return "no release or catalogue row"
         names = described["n"]
         if len(names) != len(keys) + 1:
-            raise ValueError(f"names {names} do not fit {len(keys)} keys and a value")
+            return f"names {names} do not fit {len(keys)} keys and a value"
         spec = PivotSpec(GEO_ID, tuple(values), tuple(keys), "sum", "__", name_values=bool(keys))
         metrics = pivot_table(counted, spec)
         long = unpivot_values(counted, [GEO_ID, *keys], values)

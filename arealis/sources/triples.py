@@ -22,39 +22,74 @@ ISO_639_1 = "http://publications.europa.eu/ontology/euvoc#ISO_639_1"
 
 LANGUAGE_ORDER = ["en", "fr", "de", "nl"]
 
-# The literal of a triple ends its line, so it reaches to the last quote there.
-# Plain ``.*`` runs keep the matcher flat however long a literal is.
-_HEAD = r"(?s)^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(.*\S)\s*\.\s*$"
-_NODE = r"(?s)^(?:<([^>]*)>|(_:\S+))$"
-_LITERAL = r'(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$'
+# Escaped backslashes and quotes are set aside as single characters, so a literal ends at its next quote
+# and plain runs keep the matcher flat however long it is.
+_BACKSLASH, _QUOTE = "\u0000", "\u0001"
+_OBJECT = r'<([^>]*)>|(_:\S*[^\s.])|"([^"]*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?'
+_LINE = rf"(?s)^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(?:{_OBJECT})\s*\.\s*(?:#.*)?$"
+_NO_TRIPLE = r"^\s*(?:#.*)?$"
+
+# Escapes of one character.
+ESCAPES = {"\\t": "\t", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\f": "\f", "\\'": "'"}
+_CODE = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
+# Surrogates and what lies beyond the last code point stand for no character.
+_NO_CODE = r"\\u[dD][89a-fA-F]|\\U(?!0010|000[0-9A-Fa-f])|\\U0000[dD][89a-fA-F]"
+
+
+def _set_aside(line: Column) -> Column:
+    whole = F.replace(line, F.lit("\\\\"), F.lit(_BACKSLASH))
+    return F.replace(whole, F.lit('\\"'), F.lit(_QUOTE))
+
+
+def _unescaped(text: Column) -> Column:
+    """Every escape of a term read once, from left to right."""
+
+    def put_back(plain: Column) -> Column:
+        for code, character in ESCAPES.items():
+            plain = F.replace(plain, F.lit(code), F.lit(character))
+        return F.translate(plain, _BACKSLASH + _QUOTE, '\\"')
+
+    def piece(p: Column) -> Column:
+        digits = F.lpad(F.substring(p, 3, 8), 8, "0")
+        return F.when(p.rlike(f"^(?:{_CODE})$"), F.decode(F.unhex(digits), "UTF-32")).otherwise(put_back(p))
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"({_CODE}|(?:(?!{_CODE})\\.)|[^\\]+)"), F.lit(1))
+    return F.when(text.rlike(_CODE), F.array_join(F.transform(pieces, piece), "")).otherwise(put_back(text))
+
+
+def _readable(line: Column) -> Column:
+    """A triple whose escapes all stand for a character."""
+    marked = _set_aside(line)
+    unknown = rf"\\(?!['tbnrf]|u[0-9A-Fa-f]{{4}}|U[0-9A-Fa-f]{{8}})"
+    return marked.rlike(_LINE) & ~marked.rlike(unknown) & ~marked.rlike(_NO_CODE)
 
 
 def parse_triple_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """N-Triples lines -> ``(s, p, o, lang, datatype)``; blank and comment lines drop out."""
+    """N-Triples lines -> ``(s, p, o, lang, datatype)``; blank and comment lines drop out.
 
-    line = F.col(text)
-    parts = lines.filter(line.rlike(_HEAD)).select(
-        F.concat(F.regexp_extract(line, _HEAD, 1), F.regexp_extract(line, _HEAD, 2)).alias("s"),
-        F.regexp_extract(line, _HEAD, 3).alias("p"),
-        F.regexp_extract(line, _HEAD, 4).alias("rest"),
+    A comment may follow a triple.  Lines that are no triple are those of :func:`rejected_lines`.
+    """
+    marked = _set_aside(F.col(text))
+    parts = lines.filter(_readable(F.col(text))).select(
+        *(F.regexp_extract(marked, _LINE, k).alias(f"_{k}") for k in range(1, 9)),
+        marked.rlike(r'(?s)^\s*(?:<[^>]*>|_:\S+)\s+<[^>]*>\s+"').alias("_literal"),
     )
-    rest = F.col("rest")
-    node = F.concat(F.regexp_extract(rest, _NODE, 1), F.regexp_extract(rest, _NODE, 2))
-    # A doubled backslash is set aside first so that it starts no other escape.
-    literal = F.regexp_extract(rest, _LITERAL, 1)
-    for code, plain in (
-        ("\\\\", "\u0000"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\u0000", "\\"),
-    ):
-        literal = F.replace(literal, F.lit(code), F.lit(plain))
+    node = F.concat("_4", "_5")
     return parts.select(
-        "s",
-        "p",
-        F.when(rest.startswith('"'), literal).otherwise(node).alias("o"),
-        F.nullif(F.regexp_extract(rest, _LITERAL, 2), F.lit("")).alias("lang"),
-        F.nullif(F.regexp_extract(rest, _LITERAL, 3), F.lit("")).alias("datatype"),
+        _unescaped(F.concat("_1", "_2")).alias("s"),
+        _unescaped(F.col("_3")).alias("p"),
+        _unescaped(F.when(F.col("_literal"), F.col("_6")).otherwise(node)).alias("o"),
+        F.nullif(F.col("_7"), F.lit("")).alias("lang"),
+        F.nullif(F.col("_8"), F.lit("")).alias("datatype"),
     )
 
 
+def rejected_lines(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Lines that are neither a triple nor blank nor a comment."""
+    line = F.col(text)
+    return lines.filter(~line.rlike(_NO_TRIPLE) & ~_readable(line))
+
+
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
     return parse_triple_lines(spark.read.text(path))
 

@@ -179,6 +179,9 @@ def test_scotland(spark, scottish_folder):
     plan.allow_missing = True
     assert plan.derived_metrics("2011/CouncilArea2011/DC9SC") is None
     assert set(plan.metrics()) == {f"2011/CouncilArea2011/{t}" for t in ("LC1117SC", "QS103SC")}
+    outcomes = {r.partition_key.rpartition("/")[2]: (r.status, r.reason) for r in plan.outcomes().collect()}
+    assert outcomes["LC1117SC"] == outcomes["QS103SC"] == ("ok", None)
+    assert outcomes["DC9SC"][0] == "skipped" and "do not fit" in outcomes["DC9SC"][1]
 
 
 def test_scottish_geometry(spark, scottish_folder):

@@ -257,3 +257,26 @@ def test_landed_files(spark, tmp_path):
     assert {r.path.rsplit("/", 1)[-1]: r.status for r in landed.integrity(files, manifest).collect()} == {"a.bin": "ok", "gone": "missing"}
     later = landed.integrity(files, manifest, F.current_timestamp() + F.expr("interval 3 days"))
     assert {r.status for r in later.collect()} == {"stale", "missing"}
+
+
+def test_triple_escapes_and_rejects(spark):
+    text = [
+        r'<http://a> <http://p> "caf\u00e9 \U0001F600 \\u0041 \b\f\' \"q\" \t" . # note',
+        r'<http://caf\u00e9> <http://p> _:b1 .',
+        r'_:b2 <http://p> "x . # y"^^<http://t> . # "z" .',
+        r'<http://a> <http://p> "open .',
+        r'<http://a> <http://p> "bad \x escape" .',
+        r'<http://a> <http://p> "half \uD83D" .',
+        "# only a comment",
+        "   ",
+        r'<http://a> <http://p> "' + r'\"' * 20_000 + '" .',
+    ]
+    lines = spark.createDataFrame([(t,) for t in text], "value string")
+    found = {(r.s, r.o, r.datatype) for r in triples.parse_triple_lines(lines).collect()}
+    assert found == {
+        ("http://a", "caf\u00e9 \U0001F600 \\u0041 \b\f' \"q\" \t", None),
+        ("http://caf\u00e9", "_:b1", None),
+        ("_:b2", "x . # y", "http://t"),
+        ("http://a", '"' * 20_000, None),
+    }
+    assert {r.value for r in triples.rejected_lines(lines).collect()} == set(text[3:6])

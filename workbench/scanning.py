@@ -287,9 +287,11 @@ def catalogue_triples(spark, sf):
     """Documents as a catalogue: one dataset per source with a title per document and language."""
     subject = F.concat(F.lit("<http://example.com/"), "source", F.lit(">"))
     escaped = F.col("text")
-    for plain, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+    for plain, code in (
+        ("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("é", "\\u00E9"), ("ü", "\\U000000fc"), ("'", "\\'"),
+    ):
         escaped = F.replace(escaped, F.lit(plain), F.lit(code))
-    title = F.concat(subject, F.lit(f' <{R.TITLE}> "'), escaped, F.lit('"@'), "lang", F.lit(" ."))
+    title = F.concat(subject, F.lit(f' <{R.TITLE}> "'), escaped, F.lit('"@'), "lang", F.lit(' . # "note" .'))
     return R.parse_triple_lines(
         table(spark, sf, "documents").select(title.alias("value"))
     )
