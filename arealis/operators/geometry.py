@@ -1,4 +1,4 @@
-"""Dissolve, ring building and area names for vertex-matched boundary layers.
+"""Dissolve, rings, formats and area names of boundary layers.
 
 A layer is a table with ``parts array<array<array<array<double>>>>``: parts of
 a multi-polygon, rings of a part (outer ring first), points of a ring.
@@ -7,24 +7,19 @@ a multi-polygon, rings of a part (outer ring first), points of a ring.
 from __future__ import annotations
 
 import struct
-from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arealis.operators.overlay import union_outline
+from arealis.operators.rings import TILE_EDGES, build_rings, outer_rings
 from arealis.operators.sets import stack
 from arealis.schemas import GEO_ID
-from arealis.session import ensure_checkpoint_dir, scratch_path
+from arealis.session import scratch_path
 from arealis.specs import GeometryLevel
 
-#: Areas with more boundary edges than this are stitched by joins, not in one task.
-EDGES_PER_TASK = 200_000
-
-_EDGE = ["ax", "ay", "bx", "by"]
-
-
 def _doubled_area(points: Column) -> Column:
     """Shoelace sum of a closed ring; positive when it runs counter-clockwise."""
     size = F.size(points)
@@ -65,37 +60,8 @@ def ring_edges(layer: DataFrame, group: list[str], parts: str = "parts") -> Data
 
 
 def dissolve_edges(edges: DataFrame, group: list[str]) -> DataFrame:
-    """Edges on the outline of each group.
-
-    An edge that two members of a group run through in opposite directions is
-    inside.  Copies of a member change nothing, and the aggregation key holds
-    the edge, so the size of a group does not matter.  Rows without a group
-    fall out.
-    """
-    low = F.least(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")),
-                  F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
-    high = F.greatest(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")),
-                      F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
-    forward = (F.col("ax") < F.col("bx")) | (
-        (F.col("ax") == F.col("bx")) & (F.col("ay") < F.col("by"))
-    )
-    kept = edges
-    for g in group:
-        kept = kept.filter(F.col(g).isNotNull())
-    outline = (
-        kept.groupBy(*group, low.alias("lo"), high.alias("hi"))
-        .agg(F.bool_and(forward).alias("all_forward"), F.bool_or(forward).alias("any_forward"))
-        .filter(F.col("all_forward") == F.col("any_forward"))
-    )
-    start = F.when(F.col("any_forward"), F.col("lo")).otherwise(F.col("hi"))
-    end = F.when(F.col("any_forward"), F.col("hi")).otherwise(F.col("lo"))
-    return outline.select(
-        *group,
-        start["x"].alias("ax"),
-        start["y"].alias("ay"),
-        end["x"].alias("bx"),
-        end["y"].alias("by"),
-    )
+    """Edges on the outline of each group's union, see :func:`union_outline`."""
+    return union_outline(edges, group)
 
 
 def outline_measures(outline: DataFrame, group: list[str]) -> DataFrame:
@@ -110,175 +76,15 @@ def outline_measures(outline: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _left_turn(ux, uy, vx, vy):
-    """Grows from hard right to hard left for the turn from (ux, uy) to (vx, vy)."""
-    cross = ux * vy - uy * vx
-    size = abs(ux * vx + uy * vy) + abs(cross)
-    straightness = (ux * vx + uy * vy) / size
-    return (1 - straightness) if cross >= 0 else (straightness - 1)
-
-
-def _rings_of_group(group: list[str]):
-    """Function for ``applyInPandas``: outline edges of one area to its rings."""
-
-    def build(edges: pd.DataFrame) -> pd.DataFrame:
-        leaving = defaultdict(list)
-        for ax, ay, bx, by in edges[_EDGE].sort_values(_EDGE).itertuples(index=False):
-            leaving[(ax, ay)].append((bx, by))
-        rows = []
-        for start in sorted(leaving):
-            while leaving[start]:
-                path, seen = [start], {start: 0}
-                while True:
-                    here = path[-1]
-                    choices = leaving[here]
-                    if len(path) > 1 and len(choices) > 1:
-                        px, py = path[-2]
-                        u = (here[0] - px, here[1] - py)
-                        step = max(
-                            choices,
-                            key=lambda c: _left_turn(*u, c[0] - here[0], c[1] - here[1]),
-                        )
-                        choices.remove(step)
-                    else:
-                        step = choices.pop()
-                    if step not in seen:
-                        seen[step] = len(path)
-                        path.append(step)
-                        continue
-                    # A point met before closes a ring; the rest of the path goes on.
-                    at = seen[step]
-                    ring, path = path[at:], path[: at + 1]
-                    for point in ring[1:]:
-                        del seen[point]
-                    first = min(zip(ring, ring[1:] + ring[:1]))
-                    begin = ring.index(first[0])
-                    turned = ring[begin:] + ring[:begin]
-                    name = (*first[0], *first[1])
-                    rows.extend((*name, i, x, y) for i, (x, y) in enumerate(turned))
-                    if at == 0:
-                        break
-        out = pd.DataFrame(rows, columns=["r_ax", "r_ay", "r_bx", "r_by", "seq", "x", "y"])
-        for name in reversed(group):
-            out.insert(0, name, edges[name].iloc[0])
-        return out
-
-    return build
-
-
-def _rings_by_joins(outline: DataFrame, group: list[str]) -> DataFrame:
-    """The same rings by pointer doubling, for areas too large for one task.
-
-    Each edge points at the edge that follows it.  Every round doubles the
-    distance looked ahead, so a ring of n edges takes about log2(n) joins.  A
-    ring that touches itself in a point stays one ring.
-    """
-    spark = outline.sparkSession
-    ensure_checkpoint_dir(spark)
-    edge = F.struct(*_EDGE)
-    out = outline.select(
-        *group, F.col("ax").alias("vx"), F.col("ay").alias("vy"),
-        F.col("bx").alias("tx"), F.col("by").alias("ty"), edge.alias("next"),
-    )
-    ux, uy = F.col("vx") - F.col("ax"), F.col("vy") - F.col("ay")
-    wx, wy = F.col("tx") - F.col("vx"), F.col("ty") - F.col("vy")
-    cross, dot = ux * wy - uy * wx, ux * wx + uy * wy
-    straight = dot / (F.abs(dot) + F.abs(cross))
-    turn = F.when(cross >= 0, 1 - straight).otherwise(straight - 1)
-    links = (
-        outline.withColumns({"edge": edge, "vx": F.col("bx"), "vy": F.col("by")})
-        .join(out, [*group, "vx", "vy"])
-        .groupBy(*group, "edge")
-        .agg(F.max_by("next", F.struct(turn, F.col("next"))).alias("next"))
-        .withColumn("low", F.least("edge", "next"))
-        .checkpoint()
-    )
-    # Name each ring after its smallest edge.
-    jump = links.select(*group, "edge", F.col("next").alias("ahead"), "low")
-    while True:
-        other = jump.select(
-            *group, F.col("edge").alias("ahead"), F.col("ahead").alias("further"),
-            F.col("low").alias("low_ahead"),
-        )
-        stepped = (
-            jump.join(other, [*group, "ahead"])
-            .select(
-                *group, "edge", F.col("further").alias("ahead"),
-                F.least("low", "low_ahead").alias("low"),
-                (F.col("low_ahead") < F.col("low")).alias("moved"),
-            )
-            .checkpoint()
-        )
-        jump = stepped.drop("moved")
-        if stepped.filter("moved").isEmpty():
-            break
-    # Distance of each edge to the start of its ring, the ring cut there.
-    named = links.select(*group, "edge", "next").join(
-        jump.select(*group, "edge", "low"), [*group, "edge"]
-    )
-    at_end = F.col("next") == F.col("low")
-    rank = named.select(
-        *group, "edge", "low", F.when(~at_end, F.col("next")).alias("ahead"),
-        F.lit(1).cast("bigint").alias("left"),
-    ).checkpoint()
-    while not rank.filter(F.col("ahead").isNotNull()).isEmpty():
-        other = rank.select(
-            *group, F.col("edge").alias("ahead"), F.col("ahead").alias("further"),
-            F.col("left").alias("left_ahead"),
-        )
-        rank = (
-            rank.join(other, [*group, "ahead"], "left")
-            .select(
-                *group, "edge", "low", F.col("further").alias("ahead"),
-                (F.col("left") + F.coalesce("left_ahead", F.lit(0))).alias("left"),
-            )
-            .checkpoint()
-        )
-    length = rank.groupBy(*group, "low").agg(F.count(F.lit(1)).alias("n"))
-    return rank.join(length, [*group, "low"]).select(
-        *group,
-        F.col("low.ax").alias("r_ax"), F.col("low.ay").alias("r_ay"),
-        F.col("low.bx").alias("r_bx"), F.col("low.by").alias("r_by"),
-        (F.col("n") - F.col("left")).cast("int").alias("seq"),
-        F.col("edge.ax").alias("x"), F.col("edge.ay").alias("y"),
-    )
-
-
-def build_rings(
-    outline: DataFrame, group: list[str], edges_per_task: int = EDGES_PER_TASK
-) -> DataFrame:
-    """Rings of each area as points ``(r_ax, r_ay, r_bx, r_by, seq, x, y)``.
-
-    A ring is named after its smallest edge.  The last point is not repeated.
-    The outline is far smaller than the layer it comes from and is used more
-    than once, so it is checkpointed.
-    """
-    ensure_checkpoint_dir(outline.sparkSession)
-    outline = outline.checkpoint()
-    sizes = outline.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > edges_per_task).drop("_n")
-    schema = ", ".join(
-        [f"`{g}` {outline.schema[g].dataType.simpleString()}" for g in group]
-        + [f"{c} double" for c in ("r_ax", "r_ay", "r_bx", "r_by")]
-        + ["seq int", "x double", "y double"]
-    )
-    if large.isEmpty():
-        return outline.groupBy(*group).applyInPandas(_rings_of_group(group), schema)
-    few = outline.join(large, group, "left_anti")
-    many = outline.join(large, group, "left_semi")
-    return (
-        few.groupBy(*group)
-        .applyInPandas(_rings_of_group(group), schema)
-        .unionByName(_rings_by_joins(many, group))
-    )
-
-
 def ring_table(points: DataFrame, group: list[str]) -> DataFrame:
     """One row per ring: its closed coordinates, area and whether it is a hole."""
     ring = ["r_ax", "r_ay", "r_bx", "r_by"]
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
-    rings = points.groupBy(*group, *ring).agg(
-        F.transform(ordered, lambda p: F.array(p["x"], p["y"])).alias("open")
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "x", "y", "ix", "iy")))
+    rings = points.groupBy(*group, *ring).agg(ordered.alias("ordered")).select(
+        *group,
+        *ring,
+        F.transform("ordered", lambda p: F.array(p["x"], p["y"])).alias("open"),
+        F.transform("ordered", lambda p: F.struct(p["ix"].alias("x"), p["iy"].alias("y"))).alias("grid_points"),
     )
     closed = rings.withColumn("coordinates", F.concat("open", F.slice("open", 1, 1))).drop("open")
     area = _doubled_area(F.col("coordinates")) / 2
@@ -286,66 +92,10 @@ def ring_table(points: DataFrame, group: list[str]) -> DataFrame:
 
 
 def assign_holes(rings: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``part``: the name of the outer ring a ring belongs to.
-
-    A hole belongs to the smallest outer ring around it.  A ray from a point of
-    the hole is tested only against edges in the same horizontal band of its
-    area.  A band is as high as the mean edge, so all edges together fall into
-    no more than twice as many bands as there are edges.
-    """
-    name = F.struct("r_ax", "r_ay", "r_bx", "r_by")
-    named = rings.withColumn("ring", name)
-    outer = named.filter(~F.col("is_hole"))
-    holes = named.filter("is_hole")
-    size = F.size("coordinates")
-    sides = F.zip_with(
-        F.slice("coordinates", 1, size - 1),
-        F.slice("coordinates", 2, size - 1),
-        lambda a, b: F.struct(
-            a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")
-        ),
-    )
-    edges = outer.select(
-        *group, F.col("ring").alias("outer"), F.abs("area").alias("outer_area"), F.inline(sides)
-    ).filter("ay <> by")
-    frame = edges.groupBy(*group).agg(
-        F.min(F.least("ay", "by")).alias("y0"), F.avg(F.abs(F.col("ay") - F.col("by"))).alias("h")
-    )
-
-    def band(y: Column) -> Column:
-        return F.floor((y - F.col("y0")) / F.col("h"))
-
-    walls = edges.join(frame, group).withColumn(
-        "band",
-        F.explode(F.sequence(band(F.least("ay", "by")), band(F.greatest("ay", "by")))),
-    )
-    # The middle of the hole's first edge never lies on a vertex of the outline.
-    probe = holes.join(frame, group).select(
-        *group, "ring",
-        ((F.col("r_ax") + F.col("r_bx")) / 2).alias("px"),
-        ((F.col("r_ay") + F.col("r_by")) / 2).alias("py"),
-        band((F.col("r_ay") + F.col("r_by")) / 2).alias("band"),
-    )
-    crosses = ((F.col("ay") > F.col("py")) != (F.col("by") > F.col("py"))) & (
-        F.col("px")
-        < F.col("ax") + (F.col("py") - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
-    )
-    around = (
-        probe.join(walls.drop("y0", "h"), [*group, "band"])
-        .filter(crosses)
-        .groupBy(*group, "ring", "outer", "outer_area")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .filter("hits % 2 = 1")
-        .groupBy(*group, "ring")
-        .agg(F.min_by("outer", "outer_area").alias("part"))
-    )
-    alone = F.raise_error(
-        F.concat(F.lit("a hole without a ring around it in "), F.to_json(F.struct(*group)))
-    ).cast(around.schema["part"].dataType)
-    placed = holes.join(around, [*group, "ring"], "left").withColumn(
-        "part", F.when(F.col("part").isNull(), alone).otherwise(F.col("part"))
-    )
-    return outer.withColumn("part", F.col("ring")).unionByName(placed).drop("ring")
+    """Add ``part``: the name of the outer ring a ring belongs to."""
+    named = rings.withColumn("ring", F.struct("r_ax", "r_ay", "r_bx", "r_by"))
+    parts = outer_rings(named, group)
+    return named.join(parts, [*group, "ring"]).drop("ring", "grid_points")
 
 
 def assemble_parts(rings: DataFrame, group: list[str]) -> DataFrame:
@@ -365,12 +115,12 @@ def dissolve(
     by: str | list[str],
     first_of: list[str] | None = None,
     row_order: str | None = None,
-    edges_per_task: int = EDGES_PER_TASK,
+    tile_edges: int = TILE_EDGES,
 ) -> DataFrame:
     """Union of the areas that share ``by``, with the first of other attributes."""
     group = [by] if isinstance(by, str) else by
     outline = dissolve_edges(ring_edges(layer, group), group)
-    rings = ring_table(build_rings(outline, group, edges_per_task), group)
+    rings = ring_table(build_rings(outline, group, tile_edges), group)
     shapes = assemble_parts(assign_holes(rings, group), group)
     if not first_of:
         return shapes

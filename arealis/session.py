@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on.  None of them fixes a partition count:
 #: adaptive execution sizes shuffles from what the map stage really wrote.
@@ -64,6 +64,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The table written to the shared folder and read back: its lineage ends there.
+
+    Unlike ``checkpoint()`` this computes the table once.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_packages(spark: SparkSession, folder: str | Path, packages: list[str]) -> None:
     """Send pure-Python packages to the executors, once per Spark context.
 

@@ -33,11 +33,11 @@ def loop_rings(cells, g):
     return sum((x + dx, y + dy) not in mine for x, y in mine for dx, dy in ((1, 0), (-1, 0), (0, 1), (0, -1)))
 
 
-@pytest.mark.parametrize("edges_per_task", [200_000, 0])
-def test_random_grid(spark, edges_per_task):
+@pytest.mark.parametrize("tile_edges", [200_000, 40])
+def test_random_grid(spark, tile_edges):
     rng = random.Random(5)
     cells = {(x, y): rng.choice("ab") for x in range(7) for y in range(7)}
-    shapes = G.dissolve(layer(spark, cells), "g", edges_per_task=edges_per_task)
+    shapes = G.dissolve(layer(spark, cells), "g", tile_edges=tile_edges)
     rows = {r.g: r.parts for r in shapes.collect()}
     assert measure(spark, shapes) == {g: float(list(cells.values()).count(g)) for g in "ab"}
     for g, parts in rows.items():
@@ -45,12 +45,12 @@ def test_random_grid(spark, edges_per_task):
         assert all(ring[0] == ring[-1] for part in parts for ring in part)
 
 
-@pytest.mark.parametrize("edges_per_task", [200_000, 0])
-def test_hole_and_island(spark, edges_per_task):
+@pytest.mark.parametrize("tile_edges", [200_000, 40])
+def test_hole_and_island(spark, tile_edges):
     ring = {(x, y): "ring" for x in range(7) for y in range(7) if not (1 <= x <= 5 and 1 <= y <= 5)}
     island = {(x, y): "ring" for x in (3,) for y in (3,)}
     filler = {(x, y): "in" for x in range(1, 6) for y in range(1, 6) if (x, y) != (3, 3)}
-    rows = {r.g: r.parts for r in G.dissolve(layer(spark, {**ring, **island, **filler}), "g", edges_per_task=edges_per_task).collect()}
+    rows = {r.g: r.parts for r in G.dissolve(layer(spark, {**ring, **island, **filler}), "g", tile_edges=tile_edges).collect()}
     assert sorted(len(p) for p in rows["ring"]) == [1, 2]
     assert [len(p) for p in rows["in"]] == [2]
     assert len(rows["in"][0][0]) > len(rows["in"][0][1])
@@ -95,3 +95,65 @@ def test_wkb_and_geojson(spark):
     feature = json.loads(rows["a"].j)
     assert feature["geometry"]["type"] == "Polygon" and feature["properties"] == {"GEO_ID": "a"}
     assert json.loads(rows["b"].j)["geometry"]["type"] == "MultiPolygon"
+
+
+def rect(x0, y0, x1, y1):
+    return [[float(a), float(b)] for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+
+
+def area_of(ring):
+    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:], strict=False)) / 2
+
+
+def unmatched_layer():
+    """Areas that overlap, touch, or have a vertex in the middle of a neighbour's edge."""
+    rows = [("t", rect(0, 0, 2, 2)), ("t", rect(2, 0, 3, 1)), ("t", rect(2, 1, 3, 2))]
+    rows += [("over", rect(0, 0, 2, 1)), ("over", rect(1, 0, 3, 1))]
+    rows += [("cross", rect(0, 1, 3, 2)), ("cross", rect(1, 0, 2, 3))]
+    rows += [("inner", rect(0, 0, 9, 9)), ("inner", rect(3, 3, 4, 4))]
+    rows += [("touch", rect(x, y, x + 1, y + 1)) for x in range(4) for y in range(4) if (x, y) not in ((1, 1), (0, 2))]
+    isle = [(x, y) for x in range(7) for y in range(7) if not (1 <= x <= 5 and 1 <= y <= 5) or (x, y) == (3, 3)]
+    rows += [("isle", rect(x, y, x + 1, y + 1)) for x, y in isle]
+    rows += [("tri", [[0.0, 0.0], [4.0, 0.0], [2.0, 4.0], [0.0, 0.0]]), ("tri", [[0.0, 3.0], [2.0, -1.0], [4.0, 3.0], [0.0, 3.0]])]
+    rng, cover = random.Random(2), set()
+    for _ in range(14):
+        x, y, w, h = rng.randrange(12), rng.randrange(12), rng.randrange(1, 6), rng.randrange(1, 6)
+        rows.append(("many", rect(x, y, x + w, y + h)))
+        cover |= {(i, j) for i in range(x, x + w) for j in range(y, y + h)}
+    out = [(g, [[ring]]) for g, ring in rows]
+    out.append(("holes", [[rect(0, 0, 61, 3), *(rect(2 * k + 1, 1, 2 * k + 2, 2)[::-1] for k in range(30))]]))
+    return out, cover
+
+
+def test_union_of_unmatched_areas_is_the_same_for_every_tile(spark):
+    rows, cover = unmatched_layer()
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = []
+    for tile_edges in (200_000, 30):
+        parts = {r.g: r.parts for r in G.dissolve(df, "g", tile_edges=tile_edges).collect()}
+        found.append(parts)
+        areas = {g: sum(area_of(ring) for part in p for ring in part) for g, p in parts.items()}
+        assert areas == pytest.approx(
+            {"t": 6, "over": 3, "cross": 5, "inner": 81, "touch": 14, "isle": 25, "tri": 10.75, "many": len(cover), "holes": 153}
+        )
+        shape = {g: sorted(len(part) for part in p) for g, p in parts.items()}
+        assert shape.pop("many") == [1] * len(parts["many"])
+        assert shape == {
+            "t": [1], "over": [1], "cross": [1], "inner": [1], "touch": [2], "isle": [1, 2], "tri": [1], "holes": [31]
+        }
+        for p in parts.values():
+            for outer, *holes in p:
+                assert area_of(outer) > 0 and all(area_of(h) < 0 for h in holes)
+                for ring in (outer, *holes):
+                    assert ring[0] == ring[-1] and len({tuple(q) for q in ring}) == len(ring) - 1
+    assert found[0] == found[1]
+
+
+def test_open_outline_names_its_area(spark):
+    edges = spark.createDataFrame([("lost", 0.0, 0.0, 1.0, 0.0), ("lost", 1.0, 0.0, 1.0, 1.0)], "g string, ax double, ay double, bx double, by double")
+    with pytest.raises(Exception, match="do not close around .*lost"):
+        G.build_rings(edges, ["g"]).collect()
+
+
+def test_nothing_dissolves_to_nothing(spark):
+    assert G.dissolve(spark.createDataFrame([], SCHEMA), "g").collect() == []

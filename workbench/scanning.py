@@ -237,6 +237,33 @@ def dissolve_area(spark, sf):
     return outline_measures(outline, ["nation"]).select("nation", "area", "n_edges")
 
 
+_COVERED = f"""cells AS (SELECT DISTINCT c_nationkey AS nation, c_custkey % {GRID} + i AS x, c_custkey // {GRID} AS y
+    FROM customer CROSS JOIN (VALUES (0), (1)) o(i)),
+  walls AS (SELECT c.nation AS nation, count(*) AS n FROM cells c
+    CROSS JOIN (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dx, dy)
+    LEFT JOIN cells o ON o.x = c.x + dx AND o.y = c.y + dy AND o.nation = c.nation WHERE o.nation IS NULL GROUP BY 1),
+  sizes AS (SELECT nation, count(*) AS n FROM cells GROUP BY 1)"""
+
+
+@query(
+    "dissolve_overlaps",
+    f"""WITH {_COVERED} SELECT CAST(nation AS BIGINT) AS nation, sizes.n::DOUBLE AS area, walls.n::DOUBLE AS perimeter
+    FROM sizes JOIN walls USING (nation)""",
+)
+def dissolve_overlaps(spark, sf):
+    """Areas two cells wide: neighbours overlap and have vertices in the middle of each other's edges."""
+    wide = customer_grid(spark, sf).withColumn(
+        "parts",
+        F.transform("parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda q: F.array(
+            F.when(q[0] > F.col("c_custkey") % GRID, q[0] + 1).otherwise(q[0]), q[1]
+        )))),
+    )
+    outline = dissolve_edges(ring_edges(wide, ["nation"]), ["nation"])
+    length = F.abs(F.col("bx") - F.col("ax")) + F.abs(F.col("by") - F.col("ay"))
+    around = outline.groupBy("nation").agg(F.sum(length).alias("perimeter"))
+    return outline_measures(outline, ["nation"]).select("nation", "area").join(around, "nation")
+
+
 @query(
     "dissolve_rings",
     f"""WITH {_NEIGHBOURS} SELECT CAST(nation AS BIGINT) AS nation, sizes.n::DOUBLE AS area, CAST(walls.n AS BIGINT) AS n_points
