@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,34 +23,46 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-_COLUMNS = ["archive", "member", "size", "content", "problem"]
+_NAMES = ["archive", "member", "size", "content", "problem"]
+_KINDS = [pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string()]
 
-#: Bytes of member content handed on at once.
-_CHUNK_BYTES = 32 * 1024 * 1024
+#: Bytes of rows handed on at once; a larger member is a batch of its own.
+_CHUNK_BYTES = 4 * 1024 * 1024
 
 
 def _members(with_content: bool):
-    """Function for ``mapInPandas``: archives to members."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Function for ``mapInArrow``: archives to members, one archive and few members at a time in memory."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=_NAMES
+        )
+
+    def rows_of(archive: str | None, content: pa.Scalar) -> Iterator[tuple]:
+        try:
+            # the archive stays where Arrow has it
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer() or b"")) as z:
+                for info in z.infolist():
+                    if not info.is_dir():
+                        data = z.read(info) if with_content else None
+                        yield archive, info.filename, info.file_size, data, None
+        except zipfile.BadZipFile:
+            yield archive, None, None, None, "malformed"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        for batch in batches:
-            for archive, content in zip(batch["archive"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for info in z.infolist():
-                            if info.is_dir():
-                                continue
-                            data = z.read(info) if with_content else None
-                            rows.append((archive, info.filename, info.file_size, data, None))
-                            held += info.file_size if with_content else 0
-                            if held >= _CHUNK_BYTES:
-                                yield pd.DataFrame(rows, columns=_COLUMNS)
-                                rows, held = [], 0
-                except zipfile.BadZipFile:
-                    rows.append((archive, None, None, None, "malformed"))
+        for found in batches:
+            for archive, content in zip(found.column(0), found.column(1), strict=True):
+                for row in rows_of(archive.as_py(), content):
+                    size = len(row[3] or b"") + 256
+                    if rows and held + size > _CHUNK_BYTES:
+                        yield batch(rows)
+                        rows, held = [], 0
+                    rows.append(row)
+                    held += size
         if rows:
-            yield pd.DataFrame(rows, columns=_COLUMNS)
+            yield batch(rows)
 
     return read
 
@@ -61,12 +72,12 @@ def expand_archives(archives: DataFrame) -> DataFrame:
 
     Each archive is opened once, whatever number of members is wanted from it.
     """
-    return archives.select("archive", "content").mapInPandas(_members(True), MEMBER_SCHEMA)
+    return archives.select("archive", "content").mapInArrow(_members(True), MEMBER_SCHEMA)
 
 
 def list_members(archives: DataFrame) -> DataFrame:
     """As :func:`expand_archives` from the directory of each archive only: nothing is unpacked."""
-    return archives.select("archive", "content").mapInPandas(_members(False), MEMBER_SCHEMA).drop(
+    return archives.select("archive", "content").mapInArrow(_members(False), MEMBER_SCHEMA).drop(
         "content"
     )
 

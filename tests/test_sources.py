@@ -1,14 +1,17 @@
 import io
 import json
+import os
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealis.sources import archives, boundaries, delimited, landed, nested, pages, triples, zips
 from arealis.specs import DelimitedFormat
+from workbench import scanning
 
 
 def zipped(members):
@@ -280,3 +283,33 @@ def test_triple_escapes_and_rejects(spark):
         ("http://a", '"' * 20_000, None),
     }
     assert {r.value for r in triples.rejected_lines(lines).collect()} == set(text[3:6])
+
+
+def test_members_are_handed_on_by_bytes(monkeypatch):
+    monkeypatch.setattr(archives, "_CHUNK_BYTES", 10_000)
+    landed = [zipped({f"{k}.csv": "x" * 3_000, f"{k}-b.csv": "y" * 50}) for k in range(20)] + [b"no archive", None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([f"{k}.zip" for k in range(22)]), pa.array(landed, pa.binary())], names=["archive", "content"]
+    )
+    out = list(archives._members(True)(iter([batch])))
+    assert len(out) > 5 and all(b.get_total_buffer_size() < 20_000 for b in out)
+    rows = [row for b in out for row in b.to_pylist()]
+    assert [(r["archive"], r["member"], r["size"], len(r["content"])) for r in rows[:2]] == [
+        ("0.zip", "0.csv", 3_000, 3_000), ("0.zip", "0-b.csv", 50, 50)
+    ]
+    assert len(rows) == 42 and [r["problem"] for r in rows[-3:]] == [None, "malformed", "malformed"]
+
+
+def test_landed_archives_are_handed_on_by_bytes(monkeypatch):
+    monkeypatch.setattr(scanning, "_LANDED_BYTES", 10_000)
+    texts = [os.urandom(1_500).hex() for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(30)), pa.array(["en"] * 30), pa.array(["src2"] * 30), pa.array(texts)],
+        names=["doc_id", "lang", "source", "text"],
+    )
+    out = list(scanning._zip_pages(iter([batch])))
+    assert len(out) > 3 and all(b.get_total_buffer_size() < 20_000 for b in out)
+    rows = [row for b in out for row in b.to_pylist()]
+    assert [r["archive"] for r in rows] == [str(k) for k in range(30)]
+    with zipfile.ZipFile(io.BytesIO(rows[29]["content"])) as z:
+        assert z.read("table-29.csv").decode() == texts[29]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from arealis.operators.columns import blank_header_columns
@@ -97,37 +97,58 @@ def sheet_scan(spark, sf):
     return D.read_sheet(spark, f"{path}/*", ["code", "name"], footer_rows=2)
 
 
+#: Bytes of archives that go on at once.
+_LANDED_BYTES = 4 << 20
+
+
+def _zip_page(number, lang, source, text) -> bytes:
+    if source == "src0":
+        return b"no archive"
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        if lang == "de":
+            z.writestr(f"only-{number}.dat", text)
+        elif lang == "fr":
+            z.writestr(f"table-{number}..csv", text)
+            z.writestr("notes.md", source)
+        elif lang == "es":
+            z.writestr(f"table-{number}.csv", "")
+            z.writestr("notes.md", source)
+        elif source == "src1":
+            z.writestr("bulk_output.md", source)
+            z.writestr("notes.md", source)
+        else:
+            z.writestr(f"table-{number}.csv", text)
+            z.writestr("bulk_output_1.csv.md", source)
+    return buffer.getvalue()
+
+
 def _zip_pages(batches):
-    for batch in batches:
-        contents = []
-        for number, lang, source, text in zip(batch["doc_id"], batch["lang"], batch["source"], batch["text"]):
-            if source == "src0":
-                contents.append(b"no archive")
-                continue
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-                if lang == "de":
-                    z.writestr(f"only-{number}.dat", text)
-                elif lang == "fr":
-                    z.writestr(f"table-{number}..csv", text)
-                    z.writestr("notes.md", source)
-                elif lang == "es":
-                    z.writestr(f"table-{number}.csv", "")
-                    z.writestr("notes.md", source)
-                elif source == "src1":
-                    z.writestr("bulk_output.md", source)
-                    z.writestr("notes.md", source)
-                else:
-                    z.writestr(f"table-{number}.csv", text)
-                    z.writestr("bulk_output_1.csv.md", source)
-            contents.append(buffer.getvalue())
-        yield pd.DataFrame({"archive": batch["doc_id"].astype(str), "content": contents})
+    """Archives of documents, packed one by one and handed on by bytes."""
+
+    def batch(held):
+        names, contents = zip(*held, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["archive", "content"]
+        )
+
+    held, size = [], 0
+    for rows in batches:
+        for row in zip(*rows.columns, strict=True):
+            number, lang, source, text = (cell.as_py() for cell in row)
+            held.append((str(number), _zip_page(number, lang, source, text)))
+            size += len(held[-1][1]) + 64
+            if size >= _LANDED_BYTES:
+                yield batch(held)
+                held, size = [], 0
+    if held:
+        yield batch(held)
 
 
 def landed_archives(spark, sf):
     """One zip per document: whole, single-member, misnamed, empty or malformed."""
     documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-    return documents.mapInPandas(_zip_pages, "archive string, content binary")
+    return documents.mapInArrow(_zip_pages, "archive string, content binary")
 
 
 _KIND = """CASE WHEN source = 'src0' THEN 'bad' WHEN lang = 'de' THEN 'only' WHEN lang = 'fr' THEN 'slip'
