@@ -113,27 +113,40 @@ def in_cells(edges: DataFrame) -> DataFrame:
 
     below, above = F.greatest(wall, low), F.least(wall + F.col("w"), high)
     flat = F.col("ay") == F.col("by")
-    # one unit more on both sides makes up for rounding; the tests that follow are exact
-    left = F.when(flat, F.least("ax", "bx")).otherwise(F.least(x_at(below), x_at(above))) - 1
-    right = F.when(flat, F.greatest("ax", "bx")).otherwise(F.greatest(x_at(below), x_at(above))) + 1
+    # one unit more on both sides makes up for rounding; edges along an axis have none, the tests that follow are exact
+    slack = F.when(flat | (F.col("ax") == F.col("bx")), 0).otherwise(1)
+    left = F.when(flat, F.least("ax", "bx")).otherwise(F.least(x_at(below), x_at(above))) - slack
+    right = F.when(flat, F.greatest("ax", "bx")).otherwise(F.greatest(x_at(below), x_at(above))) + slack
     return rows.withColumn("i", F.explode(F.sequence(_cell(left, F.col("w")), _cell(right, F.col("w")))))
 
 
+#: Names of the other edge's ends.
+_OTHER = ["cx", "cy", "dx", "dy"]
+#: Pairs (the lesser edge first) of which one may split the other: their boxes meet, and they do not only share an
+#: end.  Ends are in order, so the end of one that is the other's beginning is all they share, and so is any
+#: common end of edges with different directions.
+_MAY_SPLIT = """(ax < cx or (ax = cx and (ay < cy or (ay = cy and (bx < dx or (bx = dx and by < dy))))))
+    and cx <= bx and least(ay, by) <= greatest(cy, dy) and least(cy, dy) <= greatest(ay, by)
+    and not (bx = cx and by = cy)
+    and not (((ax = cx and ay = cy) or (bx = dx and by = dy)) and (bx - ax) * (dy - cy) <> (by - ay) * (dx - cx))"""
+
+
 def _split_points(edges: DataFrame) -> DataFrame:
     """(g, edge, px, py): points inside an edge at which another one ends or crosses it."""
-    cells = in_cells(edges.join(cell_widths(edges), "g")).select("g", "i", "j", F.struct(*EDGE).alias("e"))
+    cells = in_cells(edges.join(cell_widths(edges), "g")).select("g", "i", "j", *EDGE)
+    other = cells.withColumnsRenamed(dict(zip(EDGE, _OTHER, strict=True)))
+    # once for each pair, not for every cell that both touch
     pairs = (
-        cells.withColumnRenamed("e", "s")
-        .join(cells.withColumnRenamed("e", "t"), ["g", "i", "j"])
-        .filter("s < t")
-        .select("g", "s", "t")
+        cells.join(other, ["g", "i", "j"])
+        .filter(_MAY_SPLIT)
+        .select("g", F.struct(*EDGE).alias("s"), F.struct(*(F.col(o).alias(c) for c, o in zip(EDGE, _OTHER, strict=True))).alias("t"))
+        .distinct()
     )
     sides = pairs.selectExpr(
         "*",
         *(f"{_side(f'{e}.ax', f'{e}.ay', f'{e}.bx', f'{e}.by', f'{f}.{p}x', f'{f}.{p}y')} as {f}{p}"
           for e, f in (("s", "t"), ("t", "s")) for p in "ab"),
     ).withColumn("crossing", F.expr("signum(ta) * signum(tb) < 0 and signum(sa) * signum(sb) < 0"))
-    # nearly all pairs only share an end
     met = sides.filter("crossing or ta = 0 or tb = 0 or sa = 0 or sb = 0").selectExpr(
         "*", "if(crossing, sa / nullif(cast(sa as double) - sb, 0), null) as share"
     )
@@ -229,7 +242,9 @@ class CellPaths:
 
         Queries without an edge on their path are left out.  Columns of a query: g, q, w, px, py, tx, ty.
         """
-        met = self.placed(queries).drop("w").join(self.cells, ["g", "i", "j"])
+        met = self.placed(queries).drop("w").join(self.cells, ["g", "i", "j"]).filter(
+            "(ax < i * w + 1) != (bx < i * w + 1) or (ay <= py) != (by <= py)"  # what either leg asks for first
+        )
         # a is the left end of an edge (or the lower one of an upright edge): ends are in order
         named = met.selectExpr(
             "*", "i * w + 1 as x", "j * w + 1 as y", "by > ay as up", "by < ay as falling",

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.operators import geometry as G
+from arealis.operators.overlay import _MAY_SPLIT, _split_points, in_cells
 from arealis.specs import GeometryLevel
 
 
@@ -157,3 +158,60 @@ def test_open_outline_names_its_area(spark):
 
 def test_nothing_dissolves_to_nothing(spark):
     assert G.dissolve(spark.createDataFrame([], SCHEMA), "g").collect() == []
+
+
+def test_edges_along_an_axis_lie_in_the_cells_they_touch(spark):
+    edges = spark.createDataFrame(
+        [("a", 0, 8, 8, 8, 8), ("b", 8, 0, 8, 8, 8), ("c", 0, 0, 8, 8, 8)],
+        "g string, ax long, ay long, bx long, by long, w long",
+    )
+    cells = {g: {(r.i, r.j) for r in in_cells(edges).filter(F.col("g") == g).collect()} for g in "abc"}
+    assert cells["a"] == {(-1, 0), (0, 0)}
+    assert cells["b"] == {(0, -1), (0, 0)}
+    assert {(-1, -1), (0, 0)} <= cells["c"]
+
+
+def test_split_points_of_all_pairs(spark):
+    """Against every pair, with common ends, crossings, ends inside edges and edges on top of each other."""
+    draw = random.Random(5)
+    edges = set()
+    while len(edges) < 60:
+        a, b = sorted(((4 * draw.randrange(7), 4 * draw.randrange(7)) for _ in range(2)))
+        if a != b:
+            edges.add((*a, *b))
+
+    def side(e, x, y):
+        return (e[2] - e[0]) * (y - e[1]) - (e[3] - e[1]) * (x - e[0])
+
+    def within(e, x, y):
+        box = e[0] <= x <= e[2] and min(e[1], e[3]) <= y <= max(e[1], e[3])
+        return box and (x, y) not in (e[:2], e[2:])
+
+    ends, cut = set(), set()
+    for s in edges:
+        for t in edges - {s}:
+            ends |= {(s, *p) for p in (t[:2], t[2:]) if side(s, *p) == 0 and within(s, *p)}
+            sa, sb = side(t, *s[:2]), side(t, *s[2:])
+            if s < t and side(s, *t[:2]) * side(s, *t[2:]) < 0 and sa * sb < 0:
+                share = sa / (sa - sb)
+                at = tuple(round((s[k] + share * (s[k + 2] - s[k])) / 4) * 4 for k in (0, 1))
+                cut |= {(e, *at) for e in (s, t) if within(e, *at)}
+    frame = spark.createDataFrame(
+        [("g", *e, 1) for e in edges], "g string, ax long, ay long, bx long, by long, n long"
+    )
+    found = {(tuple(r.e), r.px, r.py) for r in _split_points(frame).collect()}
+    assert found == ends | cut
+    assert len(cut) > 50 and len(ends) > 10
+
+
+def test_split_pairs_that_only_share_an_end_go_no_further(spark):
+    edges = [(0, 0, 4, 0), (0, 0, 0, 4), (4, 0, 4, 4), (4, 0, 8, 0), (0, 0, 8, 0), (0, 0, 4, 8)]
+    pairs = spark.createDataFrame(
+        [(*s, *t) for s in edges for t in edges], "ax long, ay long, bx long, by long, cx long, cy long, dx long, dy long"
+    )
+    kept = {(tuple(r)[:4], tuple(r)[4:]) for r in pairs.filter(_MAY_SPLIT).collect()}
+    # one edge on top of another, an end on another edge, and boxes that meet
+    assert kept == {
+        ((0, 0, 4, 0), (0, 0, 8, 0)), ((0, 0, 8, 0), (4, 0, 8, 0)), ((0, 0, 8, 0), (4, 0, 4, 4)), ((0, 0, 4, 8), (4, 0, 4, 4)),
+        ((0, 0, 4, 8), (4, 0, 8, 0)),
+    }

@@ -217,7 +217,9 @@ def customer_grid(spark, sf):
     x, y = F.col("c_custkey") % GRID, F.floor(F.col("c_custkey") / GRID)
     corners = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
     ring = F.array(*[F.array((x + i).cast("double"), (y + j).cast("double")) for i, j in corners])
-    return table(spark, sf, "customer").select(
+    # the table is a few small files, its squares are many times as large
+    spread = table(spark, sf, "customer").repartition(spark.sparkContext.defaultParallelism)
+    return spread.select(
         "c_custkey", F.col("c_nationkey").cast("bigint").alias("nation"), "c_mktsegment", F.array(F.array(ring)).alias("parts")
     )
 
