@@ -146,9 +146,11 @@ class Belgium(CountryPlan):
         )
 
     def boundary_layer(self, level: GeometryLevel) -> DataFrame:
-        features = self.features("sectors")
+        # one layer for all levels, whose names are read from it as well: its text is parsed once
         wanted = {c for lv in self.levels for c in (lv.geo_id_column, *lv.name_columns.values())}
-        return boundaries.with_properties(features, sorted(wanted))
+        return self.kept(
+            "sectors", lambda: boundaries.with_properties(self.features("sectors"), sorted(wanted))
+        )
 
     def census_table(self, partition_key: str) -> DataFrame | None:
         dataset = DATASETS.get(partition_key)

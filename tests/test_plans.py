@@ -283,3 +283,13 @@ def test_singapore(spark, tmp_path):
     people = singapore.population(spark, f"{tmp_path}/p.json")
     row = singapore.total_population_areas(areas, people).first()
     assert (row.subzone, row.planning_area, row.region, row.population) == ("TOWN", "CORE", "EAST", 9)
+
+
+def test_belgian_layer_is_parsed_once_for_all_levels(spark, belgian_folder, monkeypatch):
+    plan = belgium.Belgium(spark, belgian_folder)
+    parsed, features = [], plan.features
+    monkeypatch.setattr(plan, "features", lambda name: parsed.append(name) or features(name))
+    layers = [plan.boundary_layer(level) for level in plan.levels]
+    assert len(layers) == 5 and parsed == ["sectors"]
+    direct = boundaries.with_properties(features("sectors"), layers[0].columns[:-1])
+    assert sorted(map(str, layers[4].collect())) == sorted(map(str, direct.collect()))
