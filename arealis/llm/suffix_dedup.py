@@ -10,8 +10,10 @@ A string of ``size`` bytes that starts in two places is found in three steps.
    difference cover modulo 7 are ranked first, by doubling.  The others are ordered by their first
    bytes; for those that tie, the cover gives a shift at which both are ranked, for each pair of phases,
    so that no tie is followed byte by byte and memory stays at a few words for each suffix.
-   Anchors with very many different stretches are not put in a bucket: of those that also share more
-   bytes around the anchor, the strings are counted by digests over all tasks.
+   Anchors with very many different stretches are not put in a bucket: their stretches are cut into
+   pieces of strings that begin about as far before the anchor, which have to share more bytes around it.
+   Equal pieces repeat as a whole, different ones go to a bucket, and where there are still very many
+   of these they are cut again, down to single strings.  So what is counted is pieces, not strings.
 3. The bytes under the repeated strings go.
 """
 
@@ -42,8 +44,10 @@ PERIOD = 7
 COVER = (0, 1, 3)
 #: Bytes of text in a suffix bucket, on average.
 BUCKET_BYTES = 1 << 20
-#: Different stretches around one anchor from which on their strings are counted by digests.
+#: Different stretches around the same bytes from which on they are cut into pieces.
 CROWD = 2_000
+#: Pieces that a stretch is cut into at most, each time.
+CUTS = 4
 
 _PLACE_BITS = np.uint64(31)
 _PLACE = np.uint64((1 << 31) - 1)
@@ -259,75 +263,113 @@ def _remover(texts_too: bool):
     return remove
 
 
-def _sides(size: int, gram: int):
-    """Halves of crowded stretches: strings that reach far back from the anchor, and the others.
+def _anchored(gram: int):
+    """Crowded stretches: doc_id, mark, start, place of the anchor in the stretch, text."""
 
-    All strings of a half hold the same bytes around the anchor, whose hash is the half's key, so equal
-    strings are in halves of one key.
-    """
-    reach = (size - gram) // 2
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, begins, pieces, keys = [], [], [], []
-            for i, (anchor, start, text) in enumerate(
-                zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
-            ):
-                data = np.frombuffer(text, np.uint8)
-                n = len(text) - size + 1
-                prefix = prefix_hashes(data)
+            places = []
+            for anchor, text in zip(*(batch.column(k).to_pylist() for k in (3, 4)), strict=True):
+                prefix = prefix_hashes(np.frombuffer(text, np.uint8))
                 at = np.arange(len(text) - gram + 1)
-                p = int(np.argmax(substring_hashes(prefix, at, at + gram).view(np.int64) == anchor))
-                cut = min(n, max(0, p - reach + 1))
-                for first, last, a, b in ((0, cut, p - reach, p + gram), (cut, n, p, p + size - reach + 1)):
-                    if first < last:
-                        around = substring_hashes(prefix, np.array([a]), np.array([b]))
-                        rows.append(i)
-                        begins.append(start + first)
-                        pieces.append(text[first : last + size - 1])
-                        keys.append(mix64(around + np.uint64(anchor % 2**64)).view(np.int64)[0])
-            taken = pa.array(rows, pa.int64())
+                places.append(int(np.argmax(substring_hashes(prefix, at, at + gram).view(np.int64) == anchor)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(taken),
-                    batch.column(1).take(taken),
-                    pa.array(keys, pa.int64()),
-                    pa.array(begins, pa.int64()),
-                    pa.array(pieces, pa.binary()),
-                ],
-                names=["doc_id", "mark", "side", "start", "stretch"],
+                [*batch.columns[:3], pa.array(places, pa.int64()), batch.column(4)],
+                names=["doc_id", "mark", "start", "at", "stretch"],
             )
 
-    return part
+    return find
+
 
+def _pieces(size: int, gram: int, width: int):
+    """Pieces of stretches: strings that begin from ``k * width`` bytes before the anchor on, ``width`` of them.
+
+    Equal strings begin equally far before their anchors.  All strings of a piece hold the same bytes
+    around the anchor, whose hash is the piece's key, so equal strings are in pieces of one key.
+    """
 
-def _digests(size: int):
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(batch.column(3).to_pylist()):
-                data = np.frombuffer(text, np.uint8)
-                at = np.arange(len(data) - size + 1)
-                prefix = prefix_hashes(data)
-                low = substring_hashes(prefix, at, at + size)
-                # a second hash over other bytes: the mixed first one of both halves
-                half = size // 2
-                high = mix64(
-                    substring_hashes(prefix, at, at + half) * np.uint64(3)
-                    ^ substring_hashes(prefix, at + half, at + size)
+            texts = text_bytes(batch.column(4))
+            start, place = (batch.column(k).to_numpy() for k in (2, 3))
+            for a, b in blocks([len(x) for x in texts]):
+                offsets = np.cumsum([0, *map(len, texts[a:b])])
+                prefix = prefix_hashes(np.frombuffer(b"".join(texts[a:b]), np.uint8))
+                last = np.diff(offsets) - size
+                low = (place[a:b] - last) // width
+                counts = place[a:b] // width - low + 1
+                rows = np.repeat(np.arange(b - a), counts)
+                k = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts - low, counts)
+                near, far = k * width, np.minimum((k + 1) * width - 1, size - gram)
+                at = place[a:b][rows]
+                first, last = np.maximum(at - far, 0), np.minimum(at - near, last[rows])
+                around = substring_hashes(
+                    prefix, offsets[rows] + at - near, offsets[rows] + at - far + size
                 )
-                rows = pa.array(np.full(len(at), i))
+                taken = pa.array(rows + a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array(at + batch.column(2)[i].as_py()),
-                        pa.array(low.view(np.int64)),
-                        pa.array(high.view(np.int64)),
+                        batch.column(0).take(taken),
+                        batch.column(1).take(taken),
+                        pa.array(start[a:b][rows] + first),
+                        pa.array(at - first),
+                        pa.array(
+                            [texts[a + i][x : y + size] for i, x, y in zip(rows, first, last, strict=True)],
+                            pa.binary(),
+                        ),
+                        pa.array(mix64(around + k.astype(np.uint64)).view(np.int64)),
                     ],
-                    names=["doc_id", "mark", "begin", "low", "high"],
+                    names=["doc_id", "mark", "start", "at", "stretch", "side"],
                 )
 
-    return digest
+    return cut
+
+
+def crowded_spans(
+    crowd: DataFrame, size: int = SIZE, gram: int = GRAM
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Spans of pieces of crowded stretches that repeat as a whole, and the pieces to be sorted.
+
+    ``crowd`` has different stretches: doc_id, mark, start, at (the anchor's place in it), stretch.
+    """
+    kind = crowd.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "mark", "start", "at", "stretch"]
+    schema = f"doc_id {kind}, mark long, start long, at long, stretch binary, side long"
+    spans, pieces, width = [], [], size - gram + 1
+    while width > 1 and not crowd.isEmpty():
+        width = -(-width // CUTS)
+        found = stored(crowd.select(*names).mapInArrow(_pieces(size, gram, width), schema), "suffix-pieces")
+        kinds = stored(
+            found.groupBy("side", "stretch").agg(
+                F.count("*").alias("copies"),
+                F.min(F.struct("doc_id", "mark", "start", "at")).alias("one"),
+            ),
+            "suffix-kinds",
+        )
+        spans.append(
+            found.join(
+                kinds.where("copies > 1").select("side", "stretch"), ["side", "stretch"], "left_semi"
+            ).select(
+                "doc_id",
+                "mark",
+                F.col("start").alias("begin"),
+                (F.col("start") + F.octet_length("stretch")).alias("end"),
+            )
+        )
+        if width == 1:  # different pieces are different strings
+            break
+        several = kinds.groupBy("side").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"))
+        several = several.where("kinds > 1 and least = 1")
+        # at most one side for CROWD pieces, so a side with very many of them is no key of a shuffle
+        crowds = F.broadcast(several.where(F.col("kinds") > CROWD).select("side"))
+        few = several.where(F.col("kinds") <= CROWD).select("side")
+        crowd = kinds.join(crowds, "side", "left_semi").select("one.*", "stretch")
+        pieces.append(
+            kinds.join(crowds, "side", "left_anti")
+            .join(few, "side", "left_semi")
+            .select("one.doc_id", "one.mark", "one.start", "stretch", "side")
+        )
+    return spans, pieces
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
@@ -398,35 +440,27 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
         ),
         "suffix-parts",
     )
-    total = parts.where("not crowded").agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
-    buckets = int(total // BUCKET_BYTES + 1)
-    spans = f"doc_id {kind}, mark long, begin long, end long"
-    sorted_ = (
-        parts.where("not crowded")
-        .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-        .groupBy("bucket")
-        .applyInPandas(_sorter(size), spans)
-    )
-    sides = stored(
+    crowd = (
         parts.where("crowded")
-        .select("doc_id", "mark", "anchor", "start", "stretch")
-        .mapInArrow(
-            _sides(size, gram), f"doc_id {kind}, mark long, side long, start long, stretch binary"
-        ),
-        "suffix-sides",
+        .select("doc_id", "mark", "start", "anchor", "stretch")
+        .mapInArrow(_anchored(gram), f"doc_id {kind}, mark long, start long, at long, stretch binary")
     )
-    windows = (
-        sides.join(sides.groupBy("side").count().where("count > 1"), "side", "left_semi")
-        .select("doc_id", "mark", "start", "stretch")
-        .repartition("doc_id", "start")  # evenly, however many share a side
-        .mapInArrow(_digests(size), f"doc_id {kind}, mark long, begin long, low long, high long")
+    whole, pieces = crowded_spans(crowd, size, gram)
+    unsorted = parts.where("not crowded").select(
+        "doc_id", "mark", "start", "stretch", F.col("anchor").alias("side")
     )
-    counted = (
-        windows.join(
-            windows.groupBy("low", "high").count().where("count > 1"), ["low", "high"], "left_semi"
-        ).select("doc_id", "mark", "begin", (F.col("begin") + size).alias("end"))
+    for more in pieces:
+        unsorted = unsorted.unionByName(more)
+    total = unsorted.agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
+    buckets = int(total // BUCKET_BYTES + 1)
+    found = (
+        unsorted.withColumn("bucket", F.pmod(F.xxhash64("side"), F.lit(buckets)))
+        .groupBy("bucket")
+        .applyInPandas(_sorter(size), f"doc_id {kind}, mark long, begin long, end long")
     )
-    return equal.unionByName(sorted_).unionByName(counted)
+    for more in [equal, *whole]:
+        found = found.unionByName(more)
+    return found
 
 
 def without_repeats(

@@ -16,7 +16,7 @@ from arealis.llm.mixing import mixed
 from arealis.llm.near_dedup import near_duplicates
 from arealis.llm.packing import packed, plan
 from arealis.llm.quality import quality_scores
-from arealis.llm.suffix_dedup import repeated_bytes, repeated_starts, without_repeats
+from arealis.llm.suffix_dedup import repeated_bytes, repeated_spans, repeated_starts, without_repeats
 from arealis.llm.token_files import read_file, read_sequence, token_documents, write_token_files
 from arealis.llm.tokens import default_vocabulary, encoded
 from arealis.llm.toxicity import fit_nnpu, toxicity_scores
@@ -224,6 +224,25 @@ def test_repeated_bytes(rows, docs, monkeypatch, crowd):
     assert any(r[2] and r[2] < r[1] for r in found)
 
 
+@pytest.mark.parametrize("crowd", [3, 12])
+def test_a_common_passage_is_counted_in_pieces(spark, monkeypatch, crowd):
+    """Every text has the passage between bytes of its own, some of which a second text shares."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    rng = random.Random(crowd)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, shared = letters(300), [(letters(90), letters(90)) for _ in range(6)]
+    texts = [letters(rng.randrange(400)) + passage[rng.randrange(60) :] + letters(rng.randrange(400)) for _ in range(40)]
+    for before, after in shared:
+        texts += [letters(50) + before + passage[40:200] + after + letters(50) for _ in range(2)]
+        texts += [letters(150) + passage[:150] + after, before + passage[-150:] + letters(150)]
+    rows = [(i % 50, t, "") for i, t in enumerate(texts)]
+    docs = frame(spark, rows)
+    assert Counter(tuple(r) for r in repeated_bytes(docs).collect()) == Counter(plain_repeats(rows, 200))
+    spans = repeated_spans(docs)
+    # runs, not strings
+    assert spans.count() < 12 * len(texts)
+
+
 def test_kept_bytes_are_returned(docs):
     for r in without_repeats(docs).collect():
         assert len(r.kept_bytes) == r.n_bytes - r.n_removed
