@@ -2,6 +2,7 @@ import io
 import json
 import os
 import zipfile
+import zlib
 from datetime import datetime
 
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from arealis.sources import archives, boundaries, delimited, landed, nested, pages, triples, zips
 from arealis.specs import DelimitedFormat
 from workbench import scanning
+from workbench.landing import crc32_joined, land_archive
 
 
 def zipped(members):
@@ -313,3 +315,32 @@ def test_landed_archives_are_handed_on_by_bytes(monkeypatch):
     assert [r["archive"] for r in rows] == [str(k) for k in range(30)]
     with zipfile.ZipFile(io.BytesIO(rows[29]["content"])) as z:
         assert z.read("table-29.csv").decode() == texts[29]
+
+
+def test_crc32_of_strings_in_a_row():
+    data = bytes(range(256)) * 5
+    for cut in (0, 1, 700, len(data)):
+        first, second = zlib.crc32(data[:cut]), zlib.crc32(data[cut:])
+        assert crc32_joined(first, second, len(data) - cut) == zlib.crc32(data)
+
+
+@pytest.mark.parametrize("n", [0, 1, 4_000])
+def test_landed_members_are_packed_by_tasks(spark, monkeypatch, tmp_path, n):
+    """The driver writes no member itself, and any reader of archives reads what it puts together."""
+    lines = spark.range(0, n, 1, 5).selectExpr("lpad(id, 9, '0') as position", "concat(id, ',é\"x\ny\"') as line")
+    written, write = [], zipfile.ZipFile.open
+    monkeypatch.setattr(
+        zipfile.ZipFile, "open", lambda z, x, mode="r", *a, **k: (written.append((x, mode)), write(z, x, mode, *a, **k))[1]
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land_archive(lines, f"{tmp_path}/new/x.zip", "t.csv")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [getattr(x, "filename", x) for x, mode in written if mode == "w"] == ["bulk_output.txt"]
+    with zipfile.ZipFile(tmp_path / "new" / "x.zip") as z:
+        assert z.testzip() is None and z.namelist() == ["t.csv", "bulk_output.txt"]
+        assert z.getinfo("t.csv").compress_type == zipfile.ZIP_DEFLATED
+        assert z.read("t.csv").decode() == "".join(f'{i},é"x\ny"\n' for i in range(n))
+    chunks = zips.read_zip_members(spark, f"{tmp_path}/new/x.zip", member="t.csv").collect()
+    assert b"".join(r.content for r in chunks).count(b"\n") == 2 * n

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-
-from pyarrow import fs
 from pyspark.sql import functions as F
 
 from arealis.functions.codes import column_to_variable
@@ -21,6 +18,7 @@ from arealis.sources import triples as R
 from arealis.sources import zips
 from workbench.base import OBS, POP, SEGMENTS, STATUSES, observations, population, query, table
 from workbench.deriving import _HEADER_SQL, AGE_METRICS, HEADERS, wide_by_header
+from workbench.landing import land_archive
 from workbench.scanning import customer_grid
 
 
@@ -206,26 +204,6 @@ def job_codes_and_labels(spark, sf):
 # C-3 ------------------------------------------------------------------------
 
 
-def land_archive(lines, path: str, member: str):
-    """Lines in the order of ``position`` as the member of a landed zip, next to one that is no table.
-
-    Spark sorts and writes the lines; packing stands for the download and streams the files it wrote.
-    """
-    parts = scratch_path(lines.sparkSession, "member")
-    lines.orderBy("position").select("line").write.text(parts)
-    system, inner = zips._file_system(path)
-    source, folder = zips._file_system(parts)
-    system.create_dir(inner.rpartition("/")[0], recursive=True)
-    names = sorted(f.path for f in source.get_file_info(fs.FileSelector(folder)) if f.base_name.startswith("part-"))
-    with system.open_output_stream(inner) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        with z.open(member, "w") as packed:
-            for name in names:
-                with source.open_input_stream(name) as part:
-                    while data := part.read(zips.CHUNK_BYTES):
-                        packed.write(data)
-        z.writestr("bulk_output.txt", "all tables")
-
-
 @query(
     "csv_quoted_records",
     """SELECT 'texts.csv' AS member, CAST(doc_id AS BIGINT) AS doc_id, nullif(text, '') AS text FROM documents""",
